@@ -1,0 +1 @@
+"""Nothing lives here: ingestion is date-partitioned batch, so no streaming operator is needed."""
