@@ -7,7 +7,7 @@ per task before a shuffle, so one frequent value or one large group of copies is
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tristrata.functions import normalize as nz
 from tristrata.operators import enrich, keys
@@ -113,7 +113,8 @@ def null_family_share(df: DataFrame, suffix: str) -> DataFrame:
     totals = null_summary(df).groupBy(label.alias("family")).agg(
         F.sum("n_missing").alias("n_missing")
     )
-    whole = totals.agg(F.sum("n_missing")).scalar()
+    # Two rows, so the unpartitioned window is bounded.
+    whole = F.sum("n_missing").over(Window.partitionBy())
     return totals.withColumn("share", nz.percent(F.col("n_missing"), whole))
 
 
@@ -147,15 +148,16 @@ def missingness_corr(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Correlation matrix of the missing-value indicators in long form (col_1, col_2, corr).
 
     Rows are first grouped by their pattern of missing columns, so the pairs of columns are
-    formed once per pattern and not once per row. Columns that are never or always missing
-    have no correlation and are left out.
+    formed once per pattern and not once per row; the patterns are stored, as they are read
+    several times. Columns that are never or always missing have no correlation and are left
+    out.
     """
     cols = cols or df.columns
     pattern = F.concat(*(F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols))
     patterns = df.groupBy(pattern.alias("p")).agg(F.count(F.lit(1)).cast("double").alias("n"))
     numbers = F.lit(list(range(1, len(cols) + 1)))
     missing = F.filter(numbers, lambda i: F.substring(F.col("p"), i, F.lit(1)) == "1")
-    flagged = patterns.select("n", missing.alias("m"))
+    flagged = scratch.table(patterns, "patterns").select("n", missing.alias("m"))
     rows = flagged.agg(F.sum("n")).scalar()
     single = flagged.select("n", F.explode("m").alias("i")).groupBy("i").agg(F.sum("n").alias("k"))
     single = single.where(F.col("k") < rows)

@@ -48,6 +48,16 @@ def scan(
     return reader.options(**(options or {})).load(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer splits than there are cores.
+
+    For a few files with few row groups ahead of costly row-level work. A scan with enough
+    splits is returned as it is, so nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def list_files(
     spark: SparkSession, path: str, pattern: str = "*", exclude: tuple[str, ...] = ()
 ) -> list[str]:
