@@ -237,7 +237,7 @@ SILVER_FLIGHTS = Table(
         "dest_state": 3,
     },
 )
-# Columns of the wide table that must be known before it is published.
+# Columns of the wide table that must be known before it is published.
 SILVER_CRITICAL = (
     "airline_iata_code",
     "airline_name",

@@ -8,6 +8,7 @@ from tristrata.operators import gates as gt
 from tristrata.plans import contracts as ct, suites
 from tristrata.sources import ingest, scratch, sinks
 
+# The order in which flights are numbered.
 FLIGHT_ORDER = [
     "flight_date",
     "airline_iata_code",

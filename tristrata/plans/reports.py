@@ -6,6 +6,7 @@ from tristrata.functions import normalize as nz
 from tristrata.operators import enrich, profile as pf
 from tristrata.plans import contracts as ct
 
+# The pairs, the natural key and the text columns the reports look at.
 FIT_PAIRS = [
     ("departure_delay", "airline_delay"),
     ("arrival_delay", "airline_delay"),

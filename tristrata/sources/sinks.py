@@ -49,7 +49,10 @@ def write_csv_chunks(df: DataFrame, path: str, n: int) -> None:
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count the rows of ``df`` while it is written."""
+    """Count the rows of ``df`` while it is written.
+
+    Write the result directly: a shuffle after this point could repeat a task and its count.
+    """
     observation = Observation()
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
@@ -96,7 +99,8 @@ def publish(
         results = spark.createDataFrame(results.collect(), gt.RESULT_SCHEMA)
         gt.enforce(results)
     for name in tables:
-        fs.move_directory(spark, f"{base}/_staging/{date}/{name}", f"{base}/{name}/{PARTITION}={date}")
+        staged = f"{base}/_staging/{date}/{name}"
+        fs.move_directory(spark, staged, f"{base}/{name}/{PARTITION}={date}")
     return results if results is not None else spark.createDataFrame([], gt.RESULT_SCHEMA)
 
 
