@@ -1,0 +1,99 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from tests.llm.helpers import closure, words
+from tristrata.llm import queries, spots
+
+
+def plain(text):
+    tokens, word = [], ""
+    for c in text.lower() + " ":
+        if c.isalnum():
+            word += c
+        elif word:
+            tokens.append(word)
+            word = ""
+    found = set()
+    for i, w in enumerate(tokens):
+        if w in spots.ANCHORS:
+            chain = [x for x in tokens[i + 1 :] if x not in spots.ANCHORS][: spots.CHAIN]
+            if len(chain) == spots.CHAIN:
+                found.add("~" + " ".join([w, *chain]) + " ")
+    if not found and text:
+        found = {" " + " ".join(tokens) + " " if tokens else text}
+    return {zlib.crc32(x.encode()) for x in found}
+
+
+def like(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+TEXTS = [
+    "", "the", "the the of", "a cat sat", "The cat of the dog is in a house on hill top", "!!", "!?", "x", "and and and dog", "THE  Cat\nsat, on THE mat",
+    "der Hund ist im Haus und die Katze auch nicht", "the-cat-sat-on-the-mat", "é the ÀÉ b c", "the cat 12 3", "thea of ofx b",
+]
+
+
+def test_signatures_equal_a_plain_version(spark):
+    rng = random.Random(6)
+    texts = TEXTS + [" ".join(rng.choice(["the", "of", "and", *words(rng, 4)]) for _ in range(rng.randrange(200))) for _ in range(80)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    for r in df.select("id", spots.signatures(df.text).alias("s")).collect():
+        assert set(r.s) == plain(texts[r.id]) and r.s == sorted(set(r.s)), texts[r.id]
+
+
+def compare(docs, got):
+    order = sorted({(k, t or "") for k, t in docs}, key=lambda d: -d[0])
+    after = {d[0]: order[(i + 1) % len(order)][1] for i, d in enumerate(order)}
+    rows = {r.doc_id: r for r in got}
+    assert len(got) == len(docs)
+    for k, t in docs:
+        r, t, n = rows[k], t or "", len(t or "")
+        edited = t[: n - n // 2] + after[k][: n // 2]
+        assert (r.n_chars, r.edited_sha256) == (n, hashlib.sha256(edited.encode()).hexdigest())
+        assert r.fingerprint == "".join("%08X" % s for s in sorted(plain(t)))
+        assert r.edited_fingerprint == "".join("%08X" % s for s in sorted(plain(edited)))
+        assert r.near_edited == pytest.approx(like(plain(t), plain(edited)))
+        assert r.near_next == pytest.approx(like(plain(t), plain(after[k])))
+
+
+def test_edits_equal_a_plain_version(spark):
+    rng = random.Random(7)
+    docs = [(i * 3, " ".join(rng.choice(["the", "de", *words(rng, 4, 50)]) for _ in range(rng.randrange(60)))) for i in range(90)]
+    docs += [(1000, None), (1001, ""), (1002, "🙂é the cat sat"), (0, docs[0][1]), (1003, "the cat sat")]
+    given = spark.createDataFrame([(i, t, "x") for i, t in docs], "doc_id long, text string, key string")
+    compare(docs, spots.compare_edits(given).collect())
+
+
+def test_one_row_no_row_and_null_ids(spark):
+    one = spark.createDataFrame([(1, "the cat sat down")], "doc_id long, text string")
+    compare([(1, "the cat sat down")], spots.compare_edits(one).collect())
+    assert spots.compare_edits(one.limit(0)).collect() == []
+    both = spark.createDataFrame([(None, "the cat"), (1, "a dog ran off"), (None, "a hen ran off")], one.schema)
+    assert spots.compare_edits(both).where("near_next is not null").count() == 3
+
+
+def test_near_classes_equal_all_pairs(spark):
+    rng = random.Random(10)
+    docs = []
+    for _ in range(25):
+        base = [rng.choice(["the", "of", *words(rng, 3, 3000)]) for _ in range(rng.randrange(20, 150))]
+        for _ in range(rng.randrange(1, 7)):
+            copy = base.copy()
+            for _ in range(rng.randrange(4)):
+                copy[rng.randrange(len(copy))] = words(rng, 1)[0]
+            docs.append(" ".join(copy))
+    sets = [plain(t) for t in docs]
+    links = [(i, j) for i in range(len(docs)) for j in range(i) if like(sets[i], sets[j]) >= 0.8]
+    given = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)] + [(None, [1]), (999, [])], "id long, found array<long>")
+    got = {r.id: r.component for r in spots.near_classes(given).collect()}
+    want = closure(range(len(docs)), links)
+    assert links and got == {i: c for i, c in want.items() if any(i in e for e in links)}
+
+
+def test_query_on_all_documents(spark, small):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    compare(docs, queries.op10_spots(spark, small).collect())

@@ -150,8 +150,8 @@ def _url_sql() -> str:
     (sum(n * pow(bad / n - prior, 2)) - sum(prior * (1 - prior))) / sum(prior * (1 - prior) * (n - 1)) END, 0.001))) AS rho
   FROM {source} WHERE n > 0
 ), {name}_mean AS (
-  SELECT s.*, 1 / rho - 1 AS strength, (bad + (1 / rho - 1) * prior) / (n + 1 / rho - 1) AS mean
-  FROM {source} s, {name}_spread
+  SELECT *, n + strength AS weight, (bad + strength * prior) / (n + strength) AS mean
+  FROM (SELECT s.*, greatest(0.01, 1 / (rho + 1 / ("over" + 1)) - 1) AS strength FROM {source} s, {name}_spread)
 )"""
 
     return f"""
@@ -169,13 +169,14 @@ WITH split AS (
          array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix
   FROM parts LEFT JOIN known USING (page_id) GROUP BY host
 ), s AS (
-  SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) FROM hosts) AS prior FROM hosts GROUP BY suffix
+  SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) FROM hosts) AS prior,
+         (SELECT sum(n) + 1.0 FROM hosts) AS "over" FROM hosts GROUP BY suffix
 ), {level("s", "s")}, d AS (
-  SELECT domain, sum(h.n) AS n, sum(h.bad) AS bad, any_value(mean) AS prior FROM hosts h JOIN s_mean USING (suffix) GROUP BY domain
+  SELECT domain, sum(h.n) AS n, sum(h.bad) AS bad, any_value(mean) AS prior, any_value(weight) AS "over" FROM hosts h JOIN s_mean USING (suffix) GROUP BY domain
 ), {level("d", "d")}, h AS (
-  SELECT host, hosts.n, hosts.bad, mean AS prior FROM hosts JOIN d_mean USING (domain)
+  SELECT host, hosts.n, hosts.bad, mean AS prior, weight AS "over" FROM hosts JOIN d_mean USING (domain)
 ), {level("h", "h")}, ruled AS (
-  SELECT page_id, host, path, mean - {urls.DEVIATIONS} * sqrt(mean * (1 - mean) / (n + strength + 1)) AS bound,
+  SELECT page_id, host, path, mean - {urls.DEVIATIONS} * sqrt(mean * (1 - mean) / (weight + 1)) AS bound,
          CASE {" ".join(cases)} END AS rule
   FROM parts JOIN h_mean USING (host)
 )

@@ -45,16 +45,20 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _posterior(child: DataFrame) -> DataFrame:
-    """Adds ``strength`` and ``mean`` of every row; ``child`` has n, bad and its parent's ``prior``."""
+    """Adds ``mean`` and ``weight`` of every row; ``child`` has n, bad and its parent's ``prior`` and ``over``.
+
+    ``weight`` is the number of pages that what is known of the rate is worth. What is uncertain
+    about the parent (worth ``over`` pages) adds to the spread among its children.
+    """
     chance = F.col("prior") * (1 - F.col("prior"))
     scatter = F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("prior"), F.lit(2.0)))
     ratio = (scatter - F.sum(chance)) / F.sum(chance * (F.col("n") - 1))
     spread = child.where("n > 0").agg(
         F.greatest(F.lit(0.001), F.least(F.lit(0.999), F.coalesce(F.when(F.sum(chance * (F.col("n") - 1)) > 0, ratio), F.lit(0.001)))).alias("_rho")
     )
-    strength = 1 / F.col("_rho") - 1
+    strength = F.greatest(F.lit(0.01), 1 / (F.col("_rho") + 1 / (F.col("over") + 1)) - 1)
     return child.join(F.broadcast(spread)).select(  # one row
-        *child.columns, strength.alias("strength"),
+        *child.columns, (F.col("n") + strength).alias("weight"),
         ((F.col("bad") + strength * F.col("prior")) / (F.col("n") + strength)).alias("mean"),
     )
 
@@ -74,14 +78,14 @@ def reputations(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
         "hosts",
     )
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    whole = hosts.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0)).alias("prior"))
+    n, bad = (F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "bad"))
+    whole = hosts.agg(((bad + 0.5) / (n + 1.0)).alias("prior"), (n + 1.0).alias("over"))
     suffixes = shelf.put(_posterior(hosts.groupBy("suffix").agg(*sums).join(F.broadcast(whole))), "suffixes")
-    over = suffixes.select("suffix", F.col("mean").alias("prior"))
+    over = suffixes.select("suffix", F.col("mean").alias("prior"), F.col("weight").alias("over"))
     domains = shelf.put(_posterior(hosts.groupBy("suffix", "domain").agg(*sums).join(over, "suffix")), "domains")
-    over = domains.select("domain", F.col("mean").alias("prior"))
+    over = domains.select("domain", F.col("mean").alias("prior"), F.col("weight").alias("over"))
     scored = _posterior(hosts.join(over, "domain"))
-    weight = F.col("n") + F.col("strength")
-    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (weight + 1))
+    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return scored.select("host", "n", "bad", "mean", (F.col("mean") - DEVIATIONS * deviation).alias("bound"))
 
 
