@@ -9,15 +9,15 @@ components are returned. So no link between candidates is lost, and no group mee
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm.components import components
-from tristrata.llm.rows import Shelf
+from tristrata.llm.rows import Shelf, mix
 
 Measure = Callable[[str], tuple[np.ndarray, np.ndarray]]  # text -> distinct hashes, their counts
 TILE = 256  # texts on each side of a tile
+COLUMNS = 8192  # elements of a tile that are compared at a time
 
 
 def overlap(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
@@ -47,49 +47,71 @@ def _verified(measure: Measure, threshold: float):
     return run
 
 
-def _tile_links(measure: Measure, threshold: float):
-    """Links of one tile that join components: all shared counts are one matrix product."""
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.drop_duplicates(["id", "block"]).sort_values(["block", "id"])
-        sets = [measure(t) for t in part["text"]]
-        comp = part["component"].to_numpy()
-        ids = part["id"].to_numpy()
-        first = (part["block"] == part["i"]).to_numpy()
-        rows, cols = (np.flatnonzero(first), np.flatnonzero(~first))
-        if not len(cols):
-            cols = rows
-        sums = np.array([s[1].sum() for s in sets], np.float64)
-        parent = {c: c for c in comp.tolist()}
-
-        def root(c):
-            while parent[c] != c:
-                parent[c] = parent[parent[c]]
-                c = parent[c]
-            return c
-
-        out = []
-        order = {h: k for k, h in enumerate(np.unique(np.concatenate([s[0] for s in sets])).tolist())}
-        for r in rows.tolist():
-            h, n = sets[r]
-            weight = np.zeros(len(order))
-            weight[[order[x] for x in h.tolist()]] = n
-            for c in cols.tolist():
-                if root(comp[r]) == root(comp[c]) or min(sums[r], sums[c]) < threshold * max(sums[r], sums[c]):
-                    continue
-                hc, nc = sets[c]
-                shared = np.minimum(weight[[order[x] for x in hc.tolist()]], nc).sum()
-                if shared and shared >= threshold * (sums[r] + sums[c] - shared):
-                    parent[root(comp[r])] = root(comp[c])
-                    out.append((ids[r], ids[c]))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+def _units(found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A multiset as a set: the n-th occurrence of an element is an element of its own."""
+    hashes, counts = found
+    if not len(counts) or counts.max() == 1:
+        return hashes
+    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return mix(np.repeat(hashes, counts) ^ mix(at, 20), 21)
+
+
+def _tile_links(sets: list[np.ndarray], comp: np.ndarray, first: np.ndarray, threshold: float):
+    """Links of one tile that join two components, one for each pair of components.
+
+    The elements that two texts share are a product of matrices of zeros and ones, taken over some
+    columns at a time; elements of one text only are left out.
+    """
+    rows = np.flatnonzero(first)
+    cols = rows if first.all() else np.flatnonzero(~first)
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[place]
+    owner, column = owner[column >= 0], column[column >= 0]
+    shared = np.zeros((len(rows), len(cols)))
+    by = np.argsort(column, kind="stable")
+    owner, column = owner[by], column[by]
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+        has = np.zeros((len(sets), min(COLUMNS, int(column[-1]) + 1 - lo)), np.float32)
+        has[owner[a:b], column[a:b] - lo] = 1
+        shared += has[rows] @ has[cols].T
+    total = sizes[rows][:, None] + sizes[cols][None, :] - shared
+    r, c = np.nonzero((shared >= threshold * total) & (shared > 0) & (comp[rows][:, None] != comp[cols][None, :]))
+    r, c = rows[r], cols[c]
+    low, high = np.minimum(comp[r], comp[c]), np.maximum(comp[r], comp[c])
+    _, one = np.unique(np.stack([low, high]), axis=1, return_index=True)
+    return r[one], c[one]
+
+
+def _tiles(measure: Measure, threshold: float):
+    """Links of tiles whose rows (bucket, i, j, block, id, component, text) follow each other."""
+
+    def links(held: dict[int, tuple]) -> pa.RecordBatch:
+        ids, rows = np.array(list(held)), list(held.values())
+        sets = [_units(measure(text)) for _, _, text in rows]
+        r, c = _tile_links(sets, np.array([x[1] for x in rows]), np.array([x[0] for x in rows]), threshold)
+        return pa.RecordBatch.from_arrays([pa.array(ids[r], pa.int64()), pa.array(ids[c], pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = {}, None
+        for batch in batches:
+            for *tile, block, key, comp, text in zip(*(x.to_pylist() for x in batch.columns)):
+                if tile != last and len(held) > 1:
+                    yield links(held)
+                if tile != last:
+                    held, last = {}, tile
+                held[key] = (block == tile[1], comp, text)
+        if len(held) > 1:
+            yield links(held)
 
     return run
 
 
 def _fetch(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """One text for each wanted id."""
-    return texts.join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+    return texts.join(ids.hint("shuffle_hash"), "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
 
 
 def classes(
@@ -108,7 +130,8 @@ def classes(
         dealt.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("_last"))
         .where("leader != _last").drop("_last")
     )
-    stars = shelf.put(dealt.join(several, "bucket").distinct(), "stars")
+    # The entries need no sorting: the few shared buckets of a partition are looked up.
+    stars = shelf.put(dealt.join(several.hint("shuffle_hash"), "bucket").distinct(), "stars")
     rays = shelf.put(
         stars.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(),
         "rays",
@@ -148,9 +171,9 @@ def classes(
         )
     )
     more = shelf.put(
-        apart.join(found, "id").groupBy("bucket", "i", "j").applyInPandas(
-            _tile_links(measure, threshold), "a long, b long"
-        ),
+        apart.join(found, "id").select("bucket", "i", "j", "block", "id", "component", "text")
+        .repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        .mapInArrow(_tiles(measure, threshold), "a long, b long"),
         "joined",
     )
     return components(links.unionByName(more))
