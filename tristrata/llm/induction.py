@@ -12,7 +12,7 @@ import tempfile
 
 import numpy as np
 
-MEMORY = 256 << 20  # bytes of an array beyond which it lies in an unlinked temporary file
+MEMORY = 64 << 20  # bytes of an array beyond which it lies in an unlinked temporary file
 RUN = 1 << 18  # entries drawn from the queue at a time
 
 
@@ -97,7 +97,7 @@ def _names(text: np.ndarray, small: np.ndarray, at: np.ndarray) -> np.ndarray:
     """
     code = (text.astype(np.uint64) << np.uint64(1) | small.astype(np.uint64)) + np.uint64(1)
     end = np.append(at[1:], at[-1]) + 1
-    rank, lo = np.zeros(len(at), np.int64), 0
+    rank, lo = np.zeros(len(at), np.int32), 0
     while True:
         live = np.flatnonzero(at + lo < end)
         if not len(live):
@@ -109,7 +109,7 @@ def _names(text: np.ndarray, small: np.ndarray, at: np.ndarray) -> np.ndarray:
             key = key << np.uint64(10) | np.where(inside, code[np.minimum(place, len(text) - 1)], np.uint64(0))
         part = np.zeros(len(at), np.uint64)
         part[live] = np.unique(key, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
-        rank = np.unique(rank.astype(np.uint64) << np.uint64(32) | part, return_inverse=True)[1].astype(np.int64)
+        rank = np.unique(rank.astype(np.uint64) << np.uint64(32) | part, return_inverse=True)[1].astype(np.int32)
         lo += 6
 
 
@@ -123,7 +123,7 @@ def _sorted_names(names: np.ndarray, reach: int) -> tuple[np.ndarray, list[np.nd
     while width < reach and rank.max() + 1 < n:
         after = np.zeros(n, np.uint64)
         after[: n - width] = rank[width:].astype(np.uint64) + np.uint64(1)
-        rank = np.unique(rank.astype(np.uint64) << np.uint64(32) | after, return_inverse=True)[1].astype(np.int64)
+        rank = np.unique(rank.astype(np.uint64) << np.uint64(32) | after, return_inverse=True)[1].astype(np.int32)
         levels.append(rank)
         width *= 2
     return np.argsort(rank, kind="stable"), levels

@@ -1,10 +1,10 @@
 """Removal of long strings that occur more than once, by suffix sorting of shards.
 
-1. Every string of the wanted length has an anchor: of its substrings of ``GRAM`` bytes the one with
-   the least hash (the first of equals). Equal strings have the same anchor in the same place, so
-   only strings whose anchor occurs twice can repeat. This passes over all text once and leaves
-   nothing out.
-2. The pieces around anchors that do occur twice are dealt to shards by anchor, so equal strings
+1. Every string has an anchor: of its substrings of ``GRAM`` bytes the one with the least hash (the
+   first of equals). Equal strings have the same anchor in the same place, so only strings whose
+   anchor occurs twice can repeat. That is asked of all strings of half the wanted length: a longer
+   one can only repeat if all its halves' anchors do. This leaves nothing out.
+2. What remains is dealt to shards by the anchors of the strings of full length, so equal strings
    meet in one shard, and each string is dealt once.
 3. A shard's pieces are suffix-sorted by external induced sorting; neighbours in order that share
    the wanted length repeat each other.
@@ -20,39 +20,49 @@ from tristrata.llm import induction
 from tristrata.llm.rows import Shelf, fresh, mix, raw_bytes, slices, text_of
 
 LENGTH = 400  # bytes
-GRAM = 64  # bytes of an anchor
-SHARD_BYTES = 8 << 20  # pieces a task sorts at a time, unless one anchor alone has more
+GRAM = 64  # bytes of an anchor at most, a power of two; a quarter of the length for short strings
+SHARD_BYTES = 4 << 20  # pieces a task sorts at a time, unless one anchor alone has more
 PLACE_BITS = 28  # a text has fewer bytes than 2 to this power
 BASE = 0x9E3779B97F4A7C15
 
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from each place on (GRAM is a power of two)."""
+def _gram(length: int) -> int:
+    return min(GRAM, 1 << (max(1, length // 4).bit_length() - 1))
+
+
+def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A hash of the ``gram`` bytes from each place on."""
     out, width = data.astype(np.uint64) + np.uint64(1), 1
-    while width < GRAM:
+    while width < gram:
         out = out[:-width] * np.uint64(pow(BASE, width, 2**64)) + out[width:]
         width *= 2
     return mix(out, 5)
 
 
-def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Anchors of a text's strings: hash, place, and the first and last start of its strings."""
-    hashes = _gram_hashes(data)
+def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Runs of strings with equal anchors: hash, first and last start, and if there is more than one anchor.
+
+    Neighbouring anchors with the same hash, as in a text that repeats itself, are one run.
+    """
+    hashes = _gram_hashes(data, gram)
     low = np.uint64(PLACE_BITS)
     least = hashes >> low << low | np.arange(len(hashes), dtype=np.uint64)
-    width, window = 1, length - GRAM + 1
+    width, window = 1, length - gram + 1
     while width * 2 <= window:
         least = np.minimum(least[:-width], least[width:])
         width *= 2
     if width < window:
         least = np.minimum(least[: -(window - width)], least[window - width :])
     place = (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
-    first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    chosen = hashes[place]
+    first = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
     last = np.append(first[1:], len(place)) - 1
-    return hashes[place[first]].view(np.int64), place[first], first, last
+    return chosen[first].view(np.int64), first, last, place[first] != place[last]
 
 
 def _find_anchors(length: int):
+    half = length // 2
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
@@ -63,33 +73,36 @@ def _find_anchors(length: int):
                     if b - a >= length:
                         if b - a >= 1 << PLACE_BITS:
                             raise ValueError(f"a text of {b - a} bytes is too long for the anchors")
-                        anchor, _, first, last = anchors(data[a:b], length)
-                        found.append((anchor, np.full(len(anchor), k), first, last))
+                        anchor, first, last, more = anchors(data[a:b], half, _gram(length))
+                        found.append((anchor, np.full(len(anchor), k), first, last, more))
                 if found:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(x)) for x in zip(*found)], names=["anchor", "key", "first", "last"]
+                        [pa.array(np.concatenate(x)) for x in zip(*found)], names=["anchor", "key", "first", "last", "more"]
                     )
 
     return run
 
 
 def _cut(length: int):
+    half = length // 2
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 data, _ = raw_bytes(batch.column(1).slice(i, 1))
-                body = data.tobytes()
-                spots = batch.column(2)[i].as_py()
-                for lo in range(0, len(spots), 1000):
-                    some = spots[lo : lo + 1000]
+                spots = sorted((s["first"], s["last"]) for s in batch.column(2)[i].as_py())
+                first, last = np.array(spots, np.int64).T
+                head = np.flatnonzero(np.append(True, first[1:] != last[:-1] + 1))
+                stop = last[np.append(head[1:], len(first)) - 1]
+                for lo, hi in zip(first[head].tolist(), (stop + half).tolist()):
+                    if hi - lo < length:
+                        continue
+                    body = data[lo:hi].tobytes()
+                    anchor, a, b, _ = anchors(data[lo:hi], length, _gram(length))
+                    pieces = [body[x : y + length] for x, y in zip(a.tolist(), b.tolist())]
+                    key = np.full(len(a), batch.column(0)[i].as_py())
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([s["anchor"] for s in some], pa.int64()),
-                            pa.array([batch.column(0)[i].as_py()] * len(some), pa.int64()),
-                            pa.array([s["first"] for s in some], pa.int64()),
-                            pa.array([s["last"] for s in some], pa.int64()),
-                            pa.array([body[s["first"] : s["last"] + length] for s in some], pa.binary()),
-                        ],
+                        [*(pa.array(x, pa.int64()) for x in (anchor, key, a + lo, b + lo)), pa.array(pieces, pa.binary())],
                         names=["anchor", "key", "first", "last", "piece"],
                     )
 
@@ -149,12 +162,12 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     shelf = Shelf(texts)
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = texts.mapInArrow(_find_anchors(length), "anchor long, key long, first long, last long").repartition(parts, "anchor")
+    dealt = texts.mapInArrow(_find_anchors(length), "anchor long, key long, first long, last long, more boolean").repartition(parts, "anchor")
     spot = F.struct("key", "first")
-    often = dealt.groupBy("anchor").agg(F.min(spot).alias("_a"), F.max(spot).alias("_b")).where("_a != _b").select("anchor")
+    often = dealt.groupBy("anchor").agg(F.min(spot).alias("_a"), F.max(spot).alias("_b"), F.max("more").alias("_more")).where("_a != _b or _more").select("anchor")
     spots = shelf.put(
-        dealt.join(often, "anchor", "left_semi").groupBy("key").agg(
-            F.collect_set(F.struct("anchor", "first", "last")).alias("spots")
+        dealt.join(often.hint("shuffle_hash"), "anchor", "left_semi").groupBy("key").agg(
+            F.collect_set(F.struct("first", "last")).alias("spots")
         ),
         "spots",
     )
