@@ -75,3 +75,22 @@ def test_query_on_all_documents(spark, small):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op5_suffixes(spark, small).collect()}
     assert got == {d[0]: (*p[:3], hashlib.sha256(p[3]).hexdigest()) for d, p in zip(docs, plain(docs, 400))}
+
+
+def test_repeated_starts_of_odd_pieces():
+    rng = random.Random(1)
+    for _ in range(1500):
+        text, wanted = [], []
+        for _ in range(rng.randrange(1, 5)):
+            n = rng.randrange(1, 14)
+            most = rng.choice([3, 4, 5])
+            text += [rng.randrange(2, most) if most > 3 else 2 for _ in range(n)] + [1]
+            marked = rng.randrange(n + 1)
+            wanted += [True] * marked + [False] * (n + 1 - marked)
+        text, wanted, length = np.array([*text, 0], np.uint16), np.array([*wanted, False]), rng.randrange(2, 9)
+        ends, seen = np.flatnonzero(text < 2), {}
+        for s in np.flatnonzero(wanted).tolist():
+            if ends[np.searchsorted(ends, s)] - s >= length:
+                seen.setdefault(text[s : s + length].tobytes(), []).append(s)
+        want = sorted(s for same in seen.values() if len(same) > 1 for s in same)
+        assert np.flatnonzero(induction.repeated_starts(text, wanted, length)).tolist() == want

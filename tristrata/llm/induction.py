@@ -269,7 +269,8 @@ def repeated_starts(text: np.ndarray, wanted: np.ndarray, length: int, memory: i
     out = np.zeros(len(text), bool)
     if len(marked) < 2:
         return out
-    least = np.minimum.reduceat(common, np.append(0, marked[:-1] + 1))  # over all entries since the last marked one
+    upto = np.append(0, marked[:-1] + 1)
+    least = np.minimum.reduceat(common[: marked[-1] + 1], upto)  # over all entries since the last marked one
     same = least[1:] >= length
     places = suffixes[marked]
     out[places[1:][same]] = True
