@@ -89,3 +89,9 @@ def test_hash_key_tells_nulls_and_boundaries_apart(spark, wide):
 
 def test_fast_id_is_unique(spark):
     assert keys.fast_id(skewed(spark), "id").select("id").distinct().count() == 20_000
+
+
+def test_running_total_keeps_fractions(spark):
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([0.5, 0.25, 0.75, 0.5])], "k int, amount double")
+    found = keys.running_total(df, "before", ["k"], "amount").orderBy("k").collect()
+    assert [r.before for r in found] == [0, 0.5, 0.75, 1.5]

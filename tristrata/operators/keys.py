@@ -52,7 +52,7 @@ def _earlier(placed: DataFrame, amount: Column) -> DataFrame:
         .agg(amount.alias("_amount"))
         .select(
             F.col("_part"),
-            F.coalesce(F.sum("_amount").over(before), F.lit(0)).cast("long").alias("_offset"),
+            F.coalesce(F.sum("_amount").over(before), F.lit(0)).alias("_offset"),
         )
     )
 
@@ -70,7 +70,7 @@ def dense_key(
     placed = _placed(df, [*order_by, *rest], f"key-{name}")
     offsets = F.broadcast(_earlier(placed, F.count(F.lit(1))))
     return placed.join(offsets, "_part").select(
-        (F.col("_offset") + F.col("_row") + 1).alias(name), *df.columns
+        (F.col("_offset") + F.col("_row") + 1).cast("long").alias(name), *df.columns
     )
 
 
@@ -80,7 +80,10 @@ def dim_key(df: DataFrame, name: str, natural_key: str) -> DataFrame:
 
 
 def running_total(df: DataFrame, name: str, order_by: list[str], amount: str) -> DataFrame:
-    """Add the sum of ``amount`` over all earlier rows of a total order (0 for the first)."""
+    """Add the sum of ``amount`` over all earlier rows of a total order (0 for the first).
+
+    The total has the type of a sum of ``amount``, so fractions are kept.
+    """
     placed = _placed(df, order_by, f"total-{name}")
     offsets = F.broadcast(_earlier(placed, F.sum(amount)))
     inside = (
@@ -90,7 +93,7 @@ def running_total(df: DataFrame, name: str, order_by: list[str], amount: str) ->
     return (
         placed.withColumn("_inside", local)
         .join(offsets, "_part")
-        .select(*df.columns, (F.col("_offset") + F.col("_inside")).cast("long").alias(name))
+        .select(*df.columns, (F.col("_offset") + F.col("_inside")).alias(name))
     )
 
 

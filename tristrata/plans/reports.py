@@ -106,6 +106,6 @@ def silver_report(wide: DataFrame) -> dict[str, DataFrame]:
             wide, ["departure_delay", "arrival_delay", "air_time", "tail_number", "airline_name"]
         ),
         "reason_nulls": pf.null_summary(wide, list(ct.REASONS)),
-        "linear_fit": pf.linear_fit(pf.sample_n(wide, 50_000, ["flight_id"]), FIT_PAIRS),
+        "linear_fit": pf.linear_fit(wide, FIT_PAIRS),
         "preview": pf.preview(wide),
     }

@@ -24,9 +24,9 @@ def folder(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = _local_folders.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="tristrata-")
-        )
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="tristrata-")
+        root = _local_folders[context.applicationId]
     return f"{root.rstrip('/')}/tristrata/{context.applicationId}"
 
 
