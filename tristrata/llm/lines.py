@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm import linking
 from tristrata.llm.rows import Shelf, band_hashes, code_points, fresh, mix, slices, text_of
-from tristrata.llm.shingles import char_shingles, multiset
+from tristrata.llm.shingles import char_shingles, multisets
 
 CHARS = 8  # two unrelated lines share about one shingle in a thousand
 THRESHOLD = 0.8
@@ -58,10 +58,11 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def measure(line: str) -> tuple[np.ndarray, np.ndarray]:
-    points = np.frombuffer(line.encode("utf-32-le", "replace"), np.uint32)
-    found = np.unique(char_shingles(points, np.array([0, len(points)]), CHARS)[0])
-    return found, np.ones(len(found), np.int64)
+def measure(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The set of shingles of each line: hashes, counts of one, and the line each is in."""
+    points, starts = code_points(pa.array(lines, pa.large_string()))
+    hashes, _, owner = multisets(*char_shingles(points, starts, CHARS))
+    return hashes, np.ones(len(hashes), np.int64), owner
 
 
 def line_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,98 +13,121 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm.components import components
-from tristrata.llm.rows import Shelf, mix
+from tristrata.llm.rows import Shelf, mix, slices
 
-Measure = Callable[[str], tuple[np.ndarray, np.ndarray]]  # text -> distinct hashes, their counts
+# Texts -> distinct hashes, their counts and the place of their text, ordered by text and hash.
+Measure = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]]
 TILE = 256  # texts on each side of a tile
-COLUMNS = 8192  # elements of a tile that are compared at a time
-
-
-def overlap(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard of two multisets given as sorted hashes and counts; 0 if both are empty."""
-    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    shared = np.minimum(x[1][i], y[1][j]).sum()
-    total = x[1].sum() + y[1].sum() - shared
-    return float(shared / total) if total else 0.0
+COLUMNS = 8192  # elements of a pack that are compared at a time
+CHARS = 1 << 20  # characters that are measured at a time; a longer text comes alone
+
+
+def measured(measure: Measure, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``measure`` of all texts, some of them at a time."""
+    found, start, total = [], 0, 0
+    for i, text in enumerate([*texts, None]):
+        if i > start and (text is None or total + len(text) > CHARS):
+            hashes, counts, owner = measure(texts[start:i])
+            found.append((hashes, counts, owner + start))
+            start, total = i, 0
+        total += len(text or "")
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def overlaps(measure: Measure, lefts: list[str], which: np.ndarray, rights: list[str]) -> np.ndarray:
+    """Weighted Jaccard of each right text's multiset with that of the left text ``which`` names."""
+    lh, lc, lo = measured(measure, lefts)
+    rh, rc, ro = measured(measure, rights)
+    names, code = np.unique(np.concatenate([lh, rh]), return_inverse=True)
+    held = lo * len(names) + code[: len(lh)]  # in order, as owners and hashes are
+    asked = which[ro] * len(names) + code[len(lh) :]
+    at = np.minimum(np.searchsorted(held, asked), max(len(held) - 1, 0))
+    shared = np.zeros(len(rights))
+    if len(held):
+        both = held[at] == asked
+        shared = np.bincount(ro[both], np.minimum(lc[at[both]], rc[both]), len(rights))
+    total = np.bincount(lo, lc, len(lefts))[which] + np.bincount(ro, rc, len(rights)) - shared
+    return np.divide(shared, total, out=np.zeros(len(rights)), where=total > 0)
 
 
 def _verified(measure: Measure, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, left = None, None
         for batch in batches:
-            a, b, ta, tb = (batch.column(k).to_pylist() for k in range(4))
-            good = []
-            for i, text in enumerate(ta):
-                if text != last:  # rays of one star follow each other
-                    last, left = text, measure(text)
-                good.append(overlap(left, measure(tb[i])) >= threshold)
-            keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()).filter(keep), pa.array(b, pa.int64()).filter(keep)],
-                names=["a", "b"],
-            )
+            for wide in slices(batch, 2):
+                for part in slices(wide, 3):
+                    _, first, which = np.unique(np.asarray(part.column(0)), return_index=True, return_inverse=True)
+                    lefts = part.column(2).take(pa.array(first)).to_pylist()
+                    good = overlaps(measure, lefts, which, part.column(3).to_pylist()) >= threshold
+                    yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run
 
 
-def _units(found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """A multiset as a set: the n-th occurrence of an element is an element of its own."""
-    hashes, counts = found
-    if not len(counts) or counts.max() == 1:
-        return hashes
-    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return mix(np.repeat(hashes, counts) ^ mix(at, 20), 21)
-
+def _shared(hashes: np.ndarray, counts: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """The size of the common part of each two of ``n`` multisets.
 
-def _tile_links(sets: list[np.ndarray], comp: np.ndarray, first: np.ndarray, threshold: float):
-    """Links of one tile that join two components, one for each pair of components.
-
-    The elements that two texts share are a product of matrices of zeros and ones, taken over some
-    columns at a time; elements of one text only are left out.
+    The n-th occurrence of an element counts as an element of its own, so common parts are a product
+    of matrices of zeros and ones, taken over some columns at a time. Elements of one text only are
+    left out.
     """
-    rows = np.flatnonzero(first)
-    cols = rows if first.all() else np.flatnonzero(~first)
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, place, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    if len(counts) and counts.max() > 1:
+        at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        hashes, owner = mix(np.repeat(hashes, counts) ^ mix(at, 20), 21), np.repeat(owner, counts)
+    _, place, often = np.unique(hashes, return_inverse=True, return_counts=True)
     column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[place]
     owner, column = owner[column >= 0], column[column >= 0]
-    shared = np.zeros((len(rows), len(cols)))
     by = np.argsort(column, kind="stable")
     owner, column = owner[by], column[by]
-    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+    out = np.zeros((n, n))
+    width = int(column[-1]) + 1 if len(column) else 0
+    for lo in range(0, width, COLUMNS):
         a, b = np.searchsorted(column, [lo, lo + COLUMNS])
-        has = np.zeros((len(sets), min(COLUMNS, int(column[-1]) + 1 - lo)), np.float32)
+        has = np.zeros((n, min(COLUMNS, width - lo)), np.float32)
         has[owner[a:b], column[a:b] - lo] = 1
-        shared += has[rows] @ has[cols].T
-    total = sizes[rows][:, None] + sizes[cols][None, :] - shared
-    r, c = np.nonzero((shared >= threshold * total) & (shared > 0) & (comp[rows][:, None] != comp[cols][None, :]))
-    r, c = rows[r], cols[c]
-    low, high = np.minimum(comp[r], comp[c]), np.maximum(comp[r], comp[c])
-    _, one = np.unique(np.stack([low, high]), axis=1, return_index=True)
-    return r[one], c[one]
+        out += has @ has.T
+    return out
+
+
+def _pack_links(measure: Measure, threshold: float, rows: list[tuple]) -> pa.RecordBatch:
+    """Links inside the tiles of a pack, at most one for each pair of components.
+
+    ``rows`` has (tile, in the tile's first block, id, component, text).
+    """
+    tile, first, ids, comp = (np.array([x[k] for x in rows]) for k in range(4))
+    _, at, which = np.unique(ids, return_index=True, return_inverse=True)
+    hashes, counts, owner = measured(measure, [rows[i][4] for i in at])
+    shared = _shared(hashes, counts, owner, len(at))
+    sizes = np.bincount(owner, counts, len(at))
+    near = (shared >= threshold * (sizes[:, None] + sizes[None, :] - shared)) & (shared > 0)
+    r, c = np.nonzero(near[which][:, which] & (tile[:, None] == tile[None, :]) & (comp[:, None] < comp[None, :]))
+    whole = np.bincount(tile, ~first) == 0  # a block with itself
+    kept = whole[tile[r]] | (first[r] != first[c])
+    r, c = r[kept], c[kept]
+    _, one = np.unique(np.stack([comp[r], comp[c]]), axis=1, return_index=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids[r[one]], pa.int64()), pa.array(ids[c[one]], pa.int64())], names=["a", "b"]
+    )
 
 
 def _tiles(measure: Measure, threshold: float):
-    """Links of tiles whose rows (bucket, i, j, block, id, component, text) follow each other."""
+    """Links of tiles whose rows (bucket, i, j, block, id, component, text) follow each other.
 
-    def links(held: dict[int, tuple]) -> pa.RecordBatch:
-        ids, rows = np.array(list(held)), list(held.values())
-        sets = [_units(measure(text)) for _, _, text in rows]
-        r, c = _tile_links(sets, np.array([x[1] for x in rows]), np.array([x[0] for x in rows]), threshold)
-        return pa.RecordBatch.from_arrays([pa.array(ids[r], pa.int64()), pa.array(ids[c], pa.int64())], names=["a", "b"])
+    Small tiles are packed: whole tiles are compared together once they have the rows of a block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = {}, None
+        pack, last, n, chars = [], None, 0, 0
         for batch in batches:
             for *tile, block, key, comp, text in zip(*(x.to_pylist() for x in batch.columns)):
-                if tile != last and len(held) > 1:
-                    yield links(held)
                 if tile != last:
-                    held, last = {}, tile
-                held[key] = (block == tile[1], comp, text)
-        if len(held) > 1:
-            yield links(held)
+                    if len(pack) >= TILE or chars > CHARS:
+                        yield _pack_links(measure, threshold, pack)
+                        pack, n, chars = [], 0, 0
+                    last, n = tile, n + 1
+                pack.append((n, block == tile[1], key, comp, text))
+                chars += len(text)
+        if pack:
+            yield _pack_links(measure, threshold, pack)
 
     return run
 
@@ -159,7 +182,11 @@ def classes(
     open_buckets = placed.groupBy("bucket").agg(
         F.max((F.col("component") != F.col("_home")).cast("int")).alias("_apart"),
         F.count(F.lit(1)).alias("_n"),
+        F.min("id").alias("_least"),
+        F.bit_xor(F.xxhash64("id")).alias("_members"),
     ).where("_apart = 1 and _n > 2")
+    # Buckets of the same members, as near copies share in many bands, are compared once.
+    open_buckets = open_buckets.groupBy("_n", "_least", "_members").agg(F.min("bucket").alias("bucket")).select("bucket", "_n")
     apart = (
         placed.join(open_buckets, "bucket")
         .withColumn("_blocks", F.ceil(F.col("_n") / F.lit(TILE)).cast("int"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm import linking
 from tristrata.llm.rows import Shelf, band_hashes, code_points, mix, slices, text_of
-from tristrata.llm.shingles import multiset, word_shingles
+from tristrata.llm.shingles import multiset, multisets, word_shingles
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -79,9 +79,10 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def measure(text: str) -> tuple[np.ndarray, np.ndarray]:
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    return multiset(word_shingles(points, np.array([0, len(points)]), WORDS)[0])
+def measure(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The multiset of shingles of each text: hashes, counts, and the text each is in."""
+    points, starts = code_points(pa.array(texts, pa.large_string()))
+    return multisets(*word_shingles(points, starts, WORDS))
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -90,3 +90,11 @@ def char_shingles(points: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.nd
 def multiset(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes in order, and how often each occurs."""
     return np.unique(hashes, return_counts=True)
+
+
+def multisets(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes of each text, how often each occurs, and the text; ordered by text and hash."""
+    by = np.lexsort((hashes, owner))
+    hashes, owner = hashes[by], owner[by]
+    new = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))[: len(hashes)])
+    return hashes[new], np.diff(np.append(new, len(hashes))), owner[new]
