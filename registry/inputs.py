@@ -7,7 +7,6 @@ named, so the same text feeds the Spark queries and their SQL counterparts.
 from pyspark.sql import DataFrame, SparkSession
 
 from tristrata.operators import clean
-from tristrata.sources import ingest
 
 TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
@@ -101,8 +100,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
-    if "lineitem" in used:
-        used["lineitem"] = ingest.spread(used["lineitem"])
     return spark.sql(text.replace("{weekday}", "(weekday(l_shipdate)+1)"), **used)
 
 

@@ -293,6 +293,18 @@ def describe(spark, sf_dir):
     return rounded(pf.describe(src.table(spark, sf_dir, "part")))
 
 
+@_add(
+    "describe_orders",
+    sql.with_(
+        [("o", "SELECT o_orderkey, o_custkey, CAST(epoch(o_orderdate) AS BIGINT) AS o_orderdate FROM orders")],
+        _union(_numbers("o", ["o_orderkey", "o_custkey", "o_orderdate"])),
+    ),
+)
+def describe_orders(spark, sf_dir):
+    cols = ["o_orderkey", "o_custkey", "o_orderdate"]
+    return rounded(pf.describe(src.table(spark, sf_dir, "orders"), cols))
+
+
 def _stats(columns: str) -> str:
     return f'SELECT "column", count, {columns} FROM '
 
@@ -525,21 +537,28 @@ def require_values(spark, sf_dir):
 # -- samples and shape --------------------------------------------------------------------------
 
 
-@_add("sample_n")
+_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_PLACE = f"md5(concat_ws('|', {', '.join(_IDS)}, '42'))"
+
+
+@_add("sample_n", f"SELECT * FROM lineitem ORDER BY {_PLACE}, {', '.join(_IDS)} LIMIT 5000")
 def sample_n(spark, sf_dir):
     lineitem = src.table(spark, sf_dir, "lineitem")
-    return pf.sample_n(lineitem, 5000, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return pf.sample_n(lineitem, 5000, _IDS)
 
 
-@_add("sample_fraction")
+@_add(
+    "sample_fraction",
+    f"SELECT * FROM lineitem WHERE CAST('0x' || substr({_PLACE}, 1, 8) AS BIGINT) < 0.1 * 4294967296",
+)
 def sample_fraction(spark, sf_dir):
-    return pf.sample_fraction(src.table(spark, sf_dir, "lineitem"), 0.1, 42)
+    return pf.sample_fraction(src.table(spark, sf_dir, "lineitem"), 0.1, 42, _IDS)
 
 
-@_add("bounded_scan", "SELECT least(count(*), 1000000) AS n FROM lineitem")
+@_add("bounded_scan", f"SELECT * FROM lineitem ORDER BY {', '.join(_LINEITEM)} LIMIT 20")
 def bounded_scan(spark, sf_dir):
-    bounded = pf.preview(src.table(spark, sf_dir, "lineitem"), 1_000_000)
-    return bounded.agg(F.count(F.lit(1)).alias("n"))
+    """The first rows in a given order, as many as the caller asks for."""
+    return pf.preview(src.table(spark, sf_dir, "lineitem").orderBy(*_LINEITEM), 20)
 
 
 @_add("dimensions", "SELECT count(*) AS n_rows, 11 AS n_columns FROM lineitem")

@@ -29,6 +29,13 @@ def test_lookup_keeps_or_drops(fact, dim):
         enrich.lookup(fact, dim, ("o", "code"), {}, on_missing="skip")
 
 
+def test_a_repeated_lookup_key_is_an_error(fact, dim):
+    with pytest.raises(ValueError, match="repeat"):
+        enrich.lookup(fact, dim.unionByName(dim), ("o", "code"), {"x": "o_x"})
+    with pytest.raises(ValueError, match="repeat"):
+        enrich.role_lookup(fact, dim.unionByName(dim), "code", {"from": "o"}, {"x": "x"})
+
+
 def test_role_lookup(fact, dim):
     both = enrich.role_lookup(fact, dim, "code", {"from": "o", "to": "d"}, {"x": "x"})
     assert rows(both.select("i", "from_x", "to_x"), "i") == [

@@ -176,3 +176,17 @@ def test_shape(df):
     assert pf.preview(df, 2).count() == 2
     assert pf.sample_fraction(df, 1.0, 1).count() == 5
     assert rows(pf.distinct_values(df, "c"), "c") == [(None,), ("a",), ("b",)]
+
+
+def test_sample_fraction_by_ids_is_repeatable(spark):
+    df = spark.range(0, 10_000, 1, 3)
+    first = rows(pf.sample_fraction(df, 0.1, 7, ["id"]), "id")
+    assert first == rows(pf.sample_fraction(df.repartition(5), 0.1, 7, ["id"]), "id")
+    assert 800 < len(first) < 1200
+    assert len(rows(pf.sample_n(df, 20_000, ["id"]), "id")) == 10_000
+
+
+def test_describe_counts_dates_in_seconds(spark):
+    df = spark.sql("SELECT DATE'1970-01-02' AS d, TIMESTAMP_NTZ'1970-01-01 00:00:10' AS t, 1 AS n")
+    found = {r.column: r["mean"] for r in pf.describe(df).collect()}
+    assert found == {"d": 86400, "t": 10, "n": 1}

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from registry import ENTRIES
 from tools.check import TABLES, rows
 
 # The remaining ones run through tools/check.py; these cover every module once.
@@ -19,6 +20,10 @@ NAMES = [
     "gate_suite_gold",
     "missingness_corr",
     "describe",
+    "describe_orders",
+    "sample_n",
+    "sample_fraction",
+    "bounded_scan",
     "key_collisions",
     "csv_chunk_union",
     "partition_overwrite_roundtrip",
@@ -49,12 +54,10 @@ def test_entry_has_one_row_per_airline(spark):
 
 
 def test_every_query_but_the_listed_ones_has_sql():
-    without = set(driver.queries()) - set(driver.oracle_sql())
+    without = {name for name, e in ENTRIES.items() if e.sql is None}
     assert without == {
         "cardinality_approx",
         "describe_approx",
-        "sample_n",
-        "sample_fraction",
         "report_raw",
         "report_silver",
         "file_inventory",

@@ -32,6 +32,15 @@ def test_csv_header_is_checked(spark, orders, tmp_path):
         ingest.scan_csv(spark, path, ["o_orderkey", "other"]).collect()
 
 
+def test_csv_files_with_other_headers_raise(spark, tmp_path):
+    for name, text in (("a", "A,B\n1,2\n"), ("b", "B,A\n10,20\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    both = [f"{tmp_path}/{name}.csv" for name in ("a", "b")]
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest.scan_csv(spark, both).collect()
+    assert rows(ingest.scan_csv(spark, both[:1]), "A") == [("1", "2")]
+
+
 def test_no_files_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError):
         ingest.scan_csv(spark, [])
@@ -134,12 +143,6 @@ def test_file_inventory_lists_empty_files(spark, orders, tmp_path):
     assert all(r.file_path.endswith(r.file_name) for r in listed)
 
 
-def test_spread_leaves_well_split_scans_alone(spark):
-    assert ingest.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 8
-    many = spark.range(0, 100, 1, 64)
-    assert ingest.spread(many) is many
-
-
 def test_scratch_uses_the_folder_named_by_the_session(spark, orders):
     root = spark.conf.get("spark.checkpoint.dir")
     stored = scratch.table(orders, "orders")

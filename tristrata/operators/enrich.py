@@ -11,10 +11,15 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def measured(
-    dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+    dim: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    key: str | None = None,
 ) -> DataFrame:
     """``dim`` with a broadcast hint if its measured size allows it, else unchanged.
 
+    With ``key`` a value of that column on several rows raises ValueError; NULL matches nothing.
+
     One aggregation over the lookup side counts its rows and bytes. Beyond the bound the join
     is left to the engine: a shuffle join whose hot keys AQE splits on the large side, which
     is exact because a lookup table holds one row per key.
@@ -26,7 +31,10 @@ def measured(
     width = reduce(
         add, (F.coalesce(F.octet_length(c), F.lit(0)) for c in varying), F.lit(fixed_width)
     )
-    size = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    keys = [F.count(key).alias("k"), F.count_distinct(key).alias("d")] if key else []
+    size = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b"), *keys).first()
+    if key and size.k != size.d:
+        raise ValueError(f"{size.k - size.d} rows repeat a lookup key")
     fits = size.n <= max_rows and (size.b or 0) <= max_bytes
     return F.broadcast(dim) if fits else dim
 
@@ -41,7 +49,8 @@ def lookup(
 ) -> DataFrame:
     """Add attributes of ``dim`` under new names; ``on`` is (column of df, key of dim).
 
-    ``on_missing="drop"`` removes rows whose key has no match. ``sized`` says that ``dim`` went
+    ``on_missing="drop"`` removes rows whose key has no match. A key that ``dim`` repeats is an
+    error, as rows would multiply. ``sized`` says that ``dim`` went
     through ``measured`` already.
     """
     if on_missing not in ("keep", "drop"):
@@ -51,7 +60,7 @@ def lookup(
         F.col(key).alias("_lookup_key"), *(F.col(a).alias(new) for a, new in attrs.items())
     )
     how = "left" if on_missing == "keep" else "inner"
-    side = side if sized else measured(side)
+    side = side if sized else measured(side, key="_lookup_key")
     return df.join(side, F.col(fk) == F.col("_lookup_key"), how).drop("_lookup_key")
 
 
@@ -69,7 +78,7 @@ def role_lookup(
     ``roles`` maps role -> foreign key column, ``attrs`` maps attribute -> name after the prefix.
     """
     if not sized:
-        dim = measured(dim.select(dim_key, *attrs))
+        dim = measured(dim.select(dim_key, *attrs), key=dim_key)
     for role, fk in roles.items():
         named = {attr: f"{role}_{name}" for attr, name in attrs.items()}
         df = lookup(df, dim, (fk, dim_key), named, on_missing, sized=True)

@@ -299,9 +299,17 @@ def describe_times(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """Numeric and text columns in one table; statistics that do not apply are NULL."""
+    """All columns in one table; statistics that do not apply are NULL.
+
+    Dates and timestamps are described as seconds since 1970.
+    """
     fields = [f for f in df.schema if cols is None or f.name in cols]
     numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
+    times = [
+        f.name for f in fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    ]
+    df = df.withColumns({c: nz.epoch_seconds(F.col(c).cast("timestamp_ntz")) for c in times})
+    numeric += times
     text = [f.name for f in fields if isinstance(f.dataType, (T.StringType, T.BooleanType))]
     parts = []
     if numeric:
@@ -417,12 +425,31 @@ def all_collisions_identical(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, id_cols: list[str], seed: int = 42) -> DataFrame:
-    """``n`` rows in a pseudo-random order that depends only on the ids and the seed."""
-    return df.orderBy(F.xxhash64(*id_cols, F.lit(seed)), *id_cols).limit(n)
+    """``n`` rows in a pseudo-random order that depends only on the ids and the seed.
+
+    Rows are counted by the first digits of their place in that order, so that only rows up to the
+    place of the n-th are sorted.
+    """
+    place = _place(id_cols, seed)
+    start = F.substring(place, 1, 4)
+    counts = df.groupBy(start.alias("start")).agg(F.count(F.lit(1)).alias("n"))  # 65,536 rows at most
+    upto = counts.withColumn("n", F.sum("n").over(Window.orderBy("start"))).where(F.col("n") >= n)
+    last = upto.agg(F.min("start")).scalar()
+    return df.where(last.isNull() | (start <= last)).orderBy(place, *id_cols).limit(n)
+
+
+def sample_fraction(
+    df: DataFrame, fraction: float, seed: int = 42, id_cols: list[str] | None = None
+) -> DataFrame:
+    """About this part of the rows; with ``id_cols`` the choice depends only on the ids and the seed."""
+    if id_cols is None:
+        return df.sample(False, fraction, seed)
+    return df.where(F.conv(F.substring(_place(id_cols, seed), 1, 8), 16, 10).cast("long") < fraction * 2**32)
 
 
-def sample_fraction(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
-    return df.sample(False, fraction, seed)
+def _place(id_cols: list[str], seed: int) -> Column:
+    """A row's place in a pseudo-random order, as 32 hexadecimal digits."""
+    return F.md5(F.concat_ws("|", *(F.col(c).cast("string") for c in id_cols), F.lit(str(seed))))
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

@@ -24,6 +24,7 @@ class Table:
     max_len: dict[str, int] = field(default_factory=dict)
     fks: dict[str, tuple[str, str]] = field(default_factory=dict)  # column -> (table, key)
     aliases: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    optional: tuple[str, ...] = ()  # an input may lack these
 
 
 def require(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -69,8 +70,9 @@ def _typed(df: DataFrame, name: str, type_name: str) -> Column:
 def conform(df: DataFrame, table: Table) -> DataFrame:
     """Exactly the contract's columns, in its order and types; unreadable values become NULL.
 
-    A column the input lacks is a typed NULL.
+    An optional column the input lacks is a typed NULL; any other raises KeyError.
     """
+    require(df, [c for c in table.columns if c not in table.optional])
     return df.select(*(_typed(df, name, t) for name, t in table.columns.items()))
 
 
@@ -275,6 +277,7 @@ DIM_APT = Table(
         "state_name": 100,
         "city_name": 100,
     },
+    optional=("state_name",),
 )
 DIM_DAT = Table(
     "dim_dat",

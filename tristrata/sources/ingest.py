@@ -19,8 +19,10 @@ def scan_csv(
 ) -> DataFrame:
     """One relation of text columns from any number of CSV files with a header line.
 
-    With ``columns`` the header of every file is checked against the names. ``name_filter`` is
-    a file name pattern, ``chunks`` picks paths by their 1-based position in the list.
+    The header of every file is checked against ``columns``, or against the names in the first
+    file's header, so columns in another order raise and never end up under a wrong name.
+    ``name_filter`` is a file name pattern, ``chunks`` picks paths by their 1-based position in
+    the list.
     """
     files = [paths] if isinstance(paths, str) else list(paths)
     if chunks is not None:
@@ -32,10 +34,8 @@ def scan_csv(
         reader = reader.option("pathGlobFilter", name_filter)
     if options:
         reader = reader.options(**options)
-    if columns:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(files)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or reader.csv(files).columns])
+    return reader.schema(schema).option("enforceSchema", False).csv(files)
 
 
 def scan(
@@ -48,16 +48,6 @@ def scan(
     return reader.options(**(options or {})).load(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer splits than there are cores.
-
-    For a few files with few row groups ahead of costly row-level work. A scan with enough
-    splits is returned as it is, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def list_files(
     spark: SparkSession, path: str, pattern: str = "*", exclude: tuple[str, ...] = ()
 ) -> list[str]:
