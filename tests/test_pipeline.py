@@ -79,12 +79,14 @@ def test_airports_get_the_declared_coordinates(spark):
     ]
 
 
-def test_conform_fills_absent_columns_and_reads_alternative_names(spark):
-    table = ct.Table("t", {"a": "int", "b": "double", "z": "string"}, aliases={"a": ("aa",)})
+def test_conform_fills_optional_columns_and_reads_alternative_names(spark):
+    table = ct.Table("t", {"a": "int", "b": "double", "z": "string"}, aliases={"a": ("aa",)}, optional=("z",))
     df = spark.createDataFrame([("5", "x")], "aa string, b string")
     out = ct.conform(ct.canonicalise(df, table), table)
     assert out.dtypes == list(table.columns.items())
     assert rows(out) == [(5, None, None)]
+    with pytest.raises(KeyError, match="b"):
+        ct.conform(df.select(F.col("aa").alias("a")), table)
     both = spark.createDataFrame([("1", "2")], "a string, aa string")
     assert ct.canonicalise(both, table).columns == ["a", "aa"]
     assert ct.rename_present(both, {"aa": "b", "q": "r"}).columns == ["a", "b"]
