@@ -4,57 +4,69 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm import linking
 from tristrata.llm.rows import Shelf, band_hashes, code_points, fresh, mix, slices, text_of
-from tristrata.llm.shingles import char_shingles, multisets
+from tristrata.llm.shingles import char_shingles, multisets, rolling
 
 CHARS = 8  # two unrelated lines share about one shingle in a thousand
 THRESHOLD = 0.8
 BANDS = 12  # of four bins: a pair at 0.8 is missed by all of them twice in a thousand
 BINS = 48
+NONE = np.uint32(2**32 - 1)
+SIGNED_BYTES = 1 << 17  # text that is signed at a time, so that its arrays stay in a core's cache
 
 
-def signatures(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """One-permutation MinHash: the least hash in each bin; an empty bin borrows from another.
+def _spread(x: np.ndarray) -> np.ndarray:
+    """A 32-bit finaliser, in place."""
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        x ^= x >> np.uint32(shift)
+        x *= np.uint32(factor)
+    x ^= x >> np.uint32(16)
+    return x
 
-    The bins an empty one asks, in turn, are the same for all lines, so equal sets agree and the
-    chance that two lines agree in a bin stays their Jaccard similarity.
+
+def signatures(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """One-permutation MinHash of lines of a shingle or more: the least 32-bit hash in each bin.
+
+    An empty bin borrows from another. The bins it asks, in turn, are the same for all lines, so
+    equal sets agree and the chance that two lines agree in a bin stays their Jaccard similarity.
     """
-    none = np.uint64(2**64 - 1)
-    out = np.full(n * BINS, none)
-    place = ((hashes >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(out, owner * BINS + place, hashes)
+    n = len(starts) - 1
+    hashes = _spread(rolling(points, CHARS, np.uint32))
+    for k in range(1, CHARS):  # runs that leave their line
+        over = starts[1:] - k
+        hashes[over[over < len(hashes)]] = NONE
+    place = (hashes >> np.uint32(16)) * np.uint32(BINS) >> np.uint32(16)
+    out = np.full(n * BINS, NONE)
+    np.minimum.at(out, np.repeat(np.arange(n) * BINS, np.diff(starts))[: len(hashes)] + place, hashes)
     out = out.reshape(n, BINS)
-    gaps = np.flatnonzero((out == none).any(axis=1))
-    if len(gaps):
-        given = out[gaps]
-        turns = np.argsort(mix(np.arange(BINS * BINS), 77).reshape(BINS, BINS), axis=1)
-        filled = given.copy()
-        for t in range(BINS):
-            empty = filled == none
-            if not empty.any():
-                break
-            lent = mix(given[:, turns[:, t]], t + 1)
-            usable = empty & (given[:, turns[:, t]] != none)
-            filled[usable] = lent[usable]
-        out[gaps] = filled
+    line, empty = np.nonzero(out == NONE)
+    given = out.copy()
+    turns = np.argsort(mix(np.arange(BINS * BINS), 77).reshape(BINS, BINS), axis=1)
+    for t in range(BINS):
+        if not len(line):
+            break
+        lent = given[line, turns[empty, t]]
+        usable = lent != NONE
+        out[line[usable], empty[usable]] = mix(lent[usable], t + 1).astype(np.uint32)
+        line, empty = line[~usable], empty[~usable]
     return out
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, SIGNED_BYTES):
+            part = part.filter(pc.greater_equal(pc.utf8_length(part.column(1)), CHARS))
             ids, at = np.unique(np.asarray(part.column(0)), return_index=True)
-            points, starts = code_points(part.column(1).take(pa.array(at)))
-            hashes, owner = char_shingles(points, starts, CHARS)
-            has = np.flatnonzero(np.bincount(owner, minlength=len(ids)))
-            if not len(has):
+            if not len(ids):
                 continue
-            found = band_hashes(signatures(hashes, np.searchsorted(has, owner), len(has)), BANDS)
+            signed = signatures(*code_points(part.column(1).take(pa.array(at))))
+            found = band_hashes(signed.view(np.uint64), BANDS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.ravel()), pa.array(np.repeat(ids[has], BANDS))], names=["bucket", "id"]
+                [pa.array(found.ravel()), pa.array(np.repeat(ids, BANDS))], names=["bucket", "id"]
             )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm.components import components
 from tristrata.llm.rows import Shelf, mix, slices
+from tristrata.llm.shingles import HASH_BITS
 
 # Texts -> distinct hashes, their counts and the place of their text, ordered by text and hash.
 Measure = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -38,9 +39,8 @@ def overlaps(measure: Measure, lefts: list[str], which: np.ndarray, rights: list
     """Weighted Jaccard of each right text's multiset with that of the left text ``which`` names."""
     lh, lc, lo = measured(measure, lefts)
     rh, rc, ro = measured(measure, rights)
-    names, code = np.unique(np.concatenate([lh, rh]), return_inverse=True)
-    held = lo * len(names) + code[: len(lh)]  # in order, as owners and hashes are
-    asked = which[ro] * len(names) + code[len(lh) :]
+    held = lo.astype(np.uint64) << HASH_BITS | lh  # in order, as owners and hashes are
+    asked = which[ro].astype(np.uint64) << HASH_BITS | rh
     at = np.minimum(np.searchsorted(held, asked), max(len(held) - 1, 0))
     shared = np.zeros(len(rights))
     if len(held):
@@ -89,30 +89,37 @@ def _shared(hashes: np.ndarray, counts: np.ndarray, owner: np.ndarray, n: int) -
 
 
 def _pack_links(measure: Measure, threshold: float, rows: list[tuple]) -> pa.RecordBatch:
-    """Links inside the tiles of a pack, at most one for each pair of components.
+    """Links inside the tiles of a pack, at most one for each pair of components in a tile.
 
-    ``rows`` has (tile, in the tile's first block, id, component, text).
+    ``rows`` has (tile, in the tile's first block, id, component, text), tile by tile. Texts are
+    measured together, and each tile is compared by itself.
     """
     tile, first, ids, comp = (np.array([x[k] for x in rows]) for k in range(4))
     _, at, which = np.unique(ids, return_index=True, return_inverse=True)
     hashes, counts, owner = measured(measure, [rows[i][4] for i in at])
-    shared = _shared(hashes, counts, owner, len(at))
-    sizes = np.bincount(owner, counts, len(at))
-    near = (shared >= threshold * (sizes[:, None] + sizes[None, :] - shared)) & (shared > 0)
-    r, c = np.nonzero(near[which][:, which] & (tile[:, None] == tile[None, :]) & (comp[:, None] < comp[None, :]))
-    whole = np.bincount(tile, ~first) == 0  # a block with itself
-    kept = whole[tile[r]] | (first[r] != first[c])
-    r, c = r[kept], c[kept]
-    _, one = np.unique(np.stack([comp[r], comp[c]]), axis=1, return_index=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids[r[one]], pa.int64()), pa.array(ids[c[one]], pa.int64())], names=["a", "b"]
-    )
+    edges = np.searchsorted(owner, np.arange(len(at) + 1))
+    total = np.bincount(owner, counts, len(at))[which]
+    found = []
+    starts = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+    for lo, hi in zip(starts, np.append(starts[1:], len(tile))):
+        own = [slice(edges[w], edges[w + 1]) for w in which[lo:hi]]
+        whose = np.repeat(np.arange(hi - lo), [s.stop - s.start for s in own])
+        shared = _shared(np.concatenate([hashes[s] for s in own]), np.concatenate([counts[s] for s in own]), whose, hi - lo)
+        size, c, f = total[lo:hi], comp[lo:hi], first[lo:hi]
+        near = (shared >= threshold * (size[:, None] + size[None, :] - shared)) & (shared > 0) & (c[:, None] < c[None, :])
+        if not f.all():  # two blocks: each is compared with itself in a tile of its own
+            near &= f[:, None] != f[None, :]
+        i, j = np.nonzero(near)
+        _, one = np.unique(np.stack([c[i], c[j]]), axis=1, return_index=True)
+        found.append(np.stack([ids[lo + i[one]], ids[lo + j[one]]]))
+    a, b = np.concatenate(found, axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _tiles(measure: Measure, threshold: float):
     """Links of tiles whose rows (bucket, i, j, block, id, component, text) follow each other.
 
-    Small tiles are packed: whole tiles are compared together once they have the rows of a block.
+    Small tiles are packed: the texts of whole tiles are measured together once they have the rows of a block.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm import linking
 from tristrata.llm.rows import Shelf, band_hashes, code_points, mix, slices, text_of
-from tristrata.llm.shingles import multiset, multisets, word_shingles
+from tristrata.llm.shingles import multisets, word_shingles
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -65,15 +65,11 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = np.asarray(part.column(0))
             points, starts = code_points(part.column(1))
             hashes, owner = word_shingles(points, starts, WORDS)
-            edge = np.searchsorted(owner, np.arange(len(ids) + 1))
-            sets = [multiset(hashes[a:b]) for a, b in zip(edge[:-1], edge[1:])]
-            sizes = np.array([len(s[0]) for s in sets], np.int64)
-            full = np.flatnonzero(sizes)
+            shingle, weight, owner = multisets(hashes, owner)
+            full, who = np.unique(owner, return_inverse=True)
             if not len(full):
                 continue
-            who = np.repeat(np.arange(len(full)), sizes[full])
-            shingle, weight = (np.concatenate([sets[i][k] for i in full]) for k in (0, 1))
-            found = band_hashes(signatures(who, shingle, weight.astype(np.int64), len(full)), BANDS)
+            found = band_hashes(signatures(who, shingle, weight, len(full)), BANDS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.ravel()), pa.array(np.repeat(ids[full], BANDS))], names=["bucket", "id"]
             )

@@ -7,6 +7,7 @@ import numpy as np
 from tristrata.llm.rows import mix
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+HASH_BITS = np.uint64(44)  # two texts of 100,000 shingles share one by chance once in a thousand
 
 
 @cache
@@ -74,27 +75,40 @@ def word_shingles(points: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.nd
     return hashes, texts
 
 
+def rolling(points: np.ndarray, n: int, kind: type = np.uint64) -> np.ndarray:
+    """A polynomial of every run of ``n`` values, by doubling the runs' length; runs may span texts."""
+    factor = int(FACTOR) % 2 ** (8 * np.dtype(kind).itemsize)
+    power, run, size = factor, points.astype(kind), 1
+    out, width = None, 0
+    while True:
+        if n & size:
+            m = max(0, len(points) - width - size + 1)
+            out = run[:m].copy() if out is None else out[:m] * kind(power) + run[width : width + m]
+            width += size
+        if width == n:
+            return out
+        m = max(0, len(run) - size)
+        run = run[:m] * kind(power) + run[size:]
+        power = power * power % 2 ** (8 * np.dtype(kind).itemsize)
+        size *= 2
+
+
 def char_shingles(points: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every run of ``n`` characters and its text; a shorter text has none."""
-    m = max(0, len(points) - n + 1)
-    wide = points.astype(np.uint64)
-    joined = wide[:m].copy()
-    for k in range(1, n):
-        joined *= FACTOR
-        joined += wide[k : m + k]
+    joined = rolling(points, n)
+    m = len(joined)
     owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     whole = owner[:m] == owner[n - 1 : m + n - 1]
     return mix(joined[whole], 4), owner[:m][whole]
 
 
-def multiset(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes in order, and how often each occurs."""
-    return np.unique(hashes, return_counts=True)
-
-
 def multisets(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes of each text, how often each occurs, and the text; ordered by text and hash."""
-    by = np.lexsort((hashes, owner))
-    hashes, owner = hashes[by], owner[by]
-    new = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1]))[: len(hashes)])
-    return hashes[new], np.diff(np.append(new, len(hashes))), owner[new]
+    """Distinct hashes of each text, how often each occurs, and the text; ordered by text and hash.
+
+    Hashes are cut to ``HASH_BITS``, so that a text (below a million) and a hash are one sortable value.
+    """
+    keys = np.sort(owner.astype(np.uint64) << HASH_BITS | hashes >> (np.uint64(64) - HASH_BITS))
+    new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    counts = np.diff(np.append(new, len(keys)))
+    keys = keys[new]
+    return keys & ((np.uint64(1) << HASH_BITS) - np.uint64(1)), counts, (keys >> HASH_BITS).astype(np.int64)
