@@ -11,17 +11,23 @@ taken and crosses the border. Of equal merges the leftmost comes first.
 
 import heapq
 import json
+from collections import ChainMap
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tristrata.llm.rows import slices
+
 LAST = 1 << 60  # rank of the parent that a whole token does not have
-CACHE_WORDS = 500_000  # words a worker remembers; beyond it the memory starts afresh
+CACHE_WORDS = 100_000  # words a worker remembers; beyond it the memory starts afresh
+CACHED_LETTERS = 64  # a longer word is merged each time it comes
+SLICE_IDS = 1 << 18  # ids a worker decodes at a time; a longer list comes alone
 
 # Fixed value: the words of the byte-level pre-tokenizer.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -37,6 +43,18 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _token_bytes(content: dict) -> list[bytes]:
+    """The bytes each id stands for."""
+    letter = _byte_letters()
+    vocab, added = content["model"]["vocab"], content["added_tokens"]
+    out = [b""] * (max([*vocab.values(), *(t["id"] for t in added)]) + 1)
+    for token, i in vocab.items():
+        out[i] = bytes(letter[c] for c in token)
+    for t in added:
+        out[t["id"]] = t["content"].encode()
+    return out
+
+
 class Bpe:
     """A vocabulary with its merges, read from a tokenizer file's JSON text."""
 
@@ -45,12 +63,8 @@ class Bpe:
         letter = _byte_letters()
         vocab = content["model"]["vocab"]
         self.added = {t["content"]: t["id"] for t in content["added_tokens"]}
-        size = max([*vocab.values(), *self.added.values()]) + 1
-        self.bytes = [b""] * size
-        for token, i in vocab.items():
-            self.bytes[i] = bytes(letter[c] for c in token)
-        for token, i in self.added.items():
-            self.bytes[i] = token.encode()
+        self.bytes = _token_bytes(content)
+        size = len(self.bytes)
         self.single = np.array([vocab[c] for c, _ in sorted(letter.items(), key=lambda x: x[1])])
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         self.rank = np.full(size, -1, np.int64)  # of the merge that makes a token; -1: a byte
@@ -175,15 +189,17 @@ class Bpe:
             out += [part] if i % 2 else self.words.findall(part)
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
-
 
 @cache
 def _loaded(source: str) -> Bpe:
     return Bpe(source)
 
 
+@cache
+def _decoder(source: str) -> list[bytes]:
+    return _token_bytes(json.loads(source))
+
+
 @cache
 def _memory(source: str) -> dict[str, tuple[int, ...]]:
     return {t: (i,) for t, i in _loaded(source).added.items()}
@@ -208,16 +224,16 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, memory = _loaded(source.value), _memory(source.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for part in slices(batch, batch.num_columns - 1):
                 split = [bpe.pieces(t or "") for t in part.column(part.num_columns - 1).to_pylist()]
-                new = list(set().union(*split) - memory.keys())
                 if len(memory) > CACHE_WORDS:
                     memory.clear()
                     memory.update({t: (i,) for t, i in bpe.added.items()})
-                    new = list(set().union(*split) - memory.keys())
-                memory.update(zip(new, bpe.encode_words(new)))
-                ids = [list(chain.from_iterable(map(memory.__getitem__, words))) for words in split]
+                new = list(set().union(*split) - memory.keys())
+                found = dict(zip(new, bpe.encode_words(new)))
+                memory.update((w, t) for w, t in found.items() if len(w) <= CACHED_LETTERS)
+                known = ChainMap(found, memory) if any(len(w) > CACHED_LETTERS for w in new) else memory
+                ids = [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
                 at = np.zeros(len(ids) + 1, np.int32)
                 np.cumsum([len(x) for x in ids], out=at[1:])
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(at[-1]))
@@ -242,11 +258,13 @@ def decode(
     source = read_vocabulary(encoded, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(source.value)
+        tokens = _decoder(source.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                texts = [bpe.decode(x or []) for x in part.column(part.num_columns - 1).to_pylist()]
+            for part in slices(batch, batch.num_columns - 1, SLICE_IDS, pc.list_value_length):
+                texts = [
+                    b"".join(map(tokens.__getitem__, x or [])).decode("utf-8", "replace")
+                    for x in part.column(part.num_columns - 1).to_pylist()
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(texts, pa.string())], names=schema.names
                 )

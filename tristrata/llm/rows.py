@@ -1,6 +1,6 @@
 """Pieces the operators share: stored intermediates and flat views of Arrow text columns."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -67,9 +67,11 @@ def code_points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return points, before[at]
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts have at most ``limit`` bytes together."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+def slices(
+    batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES, length: Callable = pc.binary_length
+) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts (or lists) have at most ``limit`` bytes (items) together."""
+    sizes = pc.fill_null(length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, size in enumerate(sizes.tolist()):
         if total and total + size > limit:
