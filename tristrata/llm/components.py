@@ -26,11 +26,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _flat(edges: DataFrame) -> bool:
+    """Whether every node has one lower neighbour at most, and none that has one has a higher one."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    return ends.groupBy("id").agg(F.sum("below").alias("n"), F.max("above").alias("m")).where("n + m > 1").count() == 0
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Columns ``id`` and ``component`` (its smallest id) of every id that a link names.
 
     A distributed union-find: each round joins every node with the least of its neighbourhood, so
-    trees flatten into stars in a logarithmic number of rounds. Only sums reach the driver. Links
+    trees flatten into stars in a logarithmic number of rounds. It ends once all trees are stars. Only counts reach the driver. Links
     with a null end and links of an id with itself join nothing. An empty table has no components.
     """
     shelf = Shelf(links)
@@ -40,17 +48,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct(),
         "links",
     )
-    seen = None
-    while True:
-        state = edges.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"),
-        ).first()
-        if state == seen:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-                edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-            )
-        seen = state
+    while not _flat(edges):
         after = shelf.put(_small_star(_large_star(edges)), "links")
         shelf.drop(edges)
         edges = after
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
+        edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    )
