@@ -68,6 +68,33 @@ def test_many_variants_of_one_line(spark):
     assert got == plain(docs)
 
 
+NEAR = [
+    ("a ship left the harbour at dawn this cold winter morning", "a ship left the harbour at down this cold winter morning"),
+    ("please read the whole page and all notes before you sign it twice", "please read the whole page and all notes before you sing it twice"),
+    (
+        "our shop is open on weekdays from nine to five in summer and in spring time",
+        "our shop is open on weekdays from nine to six in summer and in spring time",
+    ),
+    (
+        "the committee agreed that the old bridge over the river should be repaired before the winter begins",
+        "the committee decided that the old bridge over the river should be repaired before the winter begins",
+    ),
+    (
+        "visitors are asked to leave coats and large bags in the lockers at the entrance and to keep the ticket until they leave this old house by the gate",
+        "visitors are asked to leave coats and small bags in the lockers at the entrance and to keep the ticket until they leave this old house by the gate",
+    ),
+]
+FAR = ["a cat sat on a mat in the sun", "a dog lay on a rug in the sun", "weather: 11 C, wind 4, rain 0", "the road was closed for most of the night"]
+
+
+def test_planted_near_lines_of_common_lengths(spark):
+    """One line of each near pair stays and no other line goes; the lines are literal, so no constant is believed."""
+    lone = [(2 * len(NEAR) + i, x) for i, x in enumerate(FAR)]
+    docs = [(2 * i + k, pair[k]) for i, pair in enumerate(NEAR) for k in (0, 1)] + lone
+    got = {r.doc_id: r.text for r in lines.drop_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {k: "" if k < 2 * len(NEAR) and k % 2 else text for k, text in docs}
+
+
 def test_repeated_rows_other_columns_and_no_rows(spark):
     given = spark.createDataFrame([(1, "a line\nb", 7), (1, "a line\nb", 7), (2, "b", 8)], "doc_id long, text string, n_lines long")
     got = sorted(tuple(r) for r in lines.drop_lines(given, counts=("lines", "gone")).select("doc_id", "text", "n_lines", "gone").collect())

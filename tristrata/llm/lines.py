@@ -11,10 +11,10 @@ from tristrata.llm import linking
 from tristrata.llm.rows import Shelf, band_hashes, code_points, fresh, mix, slices, text_of
 from tristrata.llm.shingles import char_shingles, multisets, rolling
 
-CHARS = 8  # two unrelated lines share about one shingle in a thousand
+CHARS = 5  # a changed inner character costs five shingles: lines of 49 characters or more still link
 THRESHOLD = 0.8
-BANDS = 12  # of four bins: a pair at 0.8 is missed by all of them twice in a thousand
-BINS = 48
+BANDS = 20  # of six bins: a pair at 0.8 is missed by all of them twice in a thousand, and unlike lines seldom meet
+BINS = 120
 NONE = np.uint32(2**32 - 1)
 SIGNED_BYTES = 1 << 17  # text that is signed at a time, so that its arrays stay in a core's cache
 
@@ -64,7 +64,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(ids):
                 continue
             signed = signatures(*code_points(part.column(1).take(pa.array(at))))
-            found = band_hashes(signed.view(np.uint64), BANDS)
+            found = band_hashes(signed.astype(np.uint64), BANDS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.ravel()), pa.array(np.repeat(ids, BANDS))], names=["bucket", "id"]
             )
@@ -94,7 +94,7 @@ def line_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``text_key``, ``line_no``, ``class`` and ``kept`` of every line that is not blank.
 
-    Lines are linked if the sets of their eight-character shingles have a Jaccard similarity of at
+    Lines are linked if the sets of their five-character shingles have a Jaccard similarity of at
     least 0.8, or if they are equal; shorter lines only if equal. The class of a line is what links
     connect, and its first line (smallest id, null ids last, then line number) is kept.
     """
