@@ -8,10 +8,8 @@ from tristrata.sources import scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language. Rejected: no letter at all, or nothing in common with any profile."""
-    pred, score = fresh(docs.columns, "lang_pred", "score")
-    named = language.identify(docs, language.profiles(docs), docs.columns, names=(pred, score))
-    return named.where((F.col(pred) != language.UNKNOWN) & (F.col(score) > 0)).select(docs.columns)
+    """Documents in a known language. Rejected: no letter at all, or too unlike the language's own texts."""
+    return language.recognised(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,3 +90,25 @@ def test_held_out_accuracy(spark):
     got = queries.op1_language(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id")
     held = got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert held > 0.98
+
+
+FOREIGN = [
+    "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+    "bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler",
+    "0fa3c97b 77e1d04c b52a9e6f 3c88d1f0 9ab47e25 e60d13fc 5b7fa298 c41e0d36 8f92b7ae 1d6ce054 fa03b8c7 42d9e51b",
+    "qxzvkj wqpfh zzkxv jqwrtp xkcdvb mnqzxw pkjhgf vbxzqk wrtqpz hjkxcv qzwvxk",
+]
+
+
+def test_foreign_and_gibberish_texts_are_rejected(spark):
+    """Texts without a label in no learned language go; every labelled clean text stays."""
+    clean = ["the house and the garden of the old man are on the hill by the river and it was good to be there"] * 5
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    extra = [(-1 - i, t * n, None) for n in (1, 8) for i, t in enumerate(FOREIGN, 10 * n)]
+    kept = language.recognised(docs.unionByName(spark.createDataFrame(extra, docs.schema)))
+    assert kept.columns == docs.columns
+    assert kept.where("doc_id < 0").count() == 0
+    lettered = docs.where(r"text rlike '\\p{L}'").count()
+    assert kept.count() >= 0.995 * lettered
+    one = spark.createDataFrame([(i, t, "en") for i, t in enumerate(clean)], docs.schema)
+    assert language.recognised(one).count() == len(clean)

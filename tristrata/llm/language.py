@@ -13,11 +13,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tristrata.llm.rows import code_points, slices, text_of
+from tristrata.llm.rows import Shelf, code_points, fresh, slices, text_of
 
 PLACES = 400  # n-grams of a profile, and of a text that are compared with it
 MAX_LANGUAGES = 1000  # bounds the profiles that every task receives
 UNKNOWN = "und"
+LOW = 0.01  # the quantile of the scores of a language's own texts that its limit is taken from
+SLACK = 0.8  # share of that quantile a text has to reach
 NONE = (1 << 21) - 1  # the digit of an n-gram shorter than three; above every code point
 
 
@@ -214,3 +216,32 @@ def identify(
         + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     )
     return docs.select(*keep, F.col(text_col).alias("_whole_text")).mapInArrow(run, schema)
+
+
+def recognised(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose text is in a language that the rows with a language teach.
+
+    A text's score depends on how much it says, so texts are banded by their number of letters
+    (powers of two). The limit of a language in a band is a share of a low quantile of the scores of
+    all its own texts there (labelled so and recognised so), and where it has none the least of its
+    limits. Texts below their language's limit are rejected, and so are those without a letter.
+    """
+    shelf = Shelf(docs)
+    pred, score, band, limit, least, lang, part = fresh(
+        docs.columns, "lang_pred", "score", "band", "limit", "least", "limit_lang", "limit_band"
+    )
+    letters = F.length(F.regexp_replace(text_of(text_col), r"\P{L}+", ""))
+    named = identify(docs, profiles(docs, text_col, lang_col), docs.columns, text_col, names=(pred, score))
+    named = named.where(F.col(pred) != UNKNOWN).withColumn(band, F.floor(F.log2(F.greatest(letters, F.lit(1)))))
+    named = shelf.put(named, "named")
+    limits = (
+        named.where(F.col(pred) == F.col(lang_col)).groupBy(F.col(pred).alias(lang), F.col(band).alias(part))
+        .agg((F.percentile_approx(score, LOW, 10000) * SLACK).alias(limit))
+    )
+    lows = limits.groupBy(F.col(lang).alias(pred)).agg(F.min(limit).alias(least))
+    # A language has a limit for each power of two of a text's length, so both tables are small.
+    both = named.join(F.broadcast(lows), pred, "left").join(
+        F.broadcast(limits), (F.col(pred) == F.col(lang)) & (F.col(band) == F.col(part)), "left"
+    )
+    held = F.coalesce(limit, least, F.lit(0.0))
+    return both.where((F.col(score) > 0) & (F.col(score) >= held)).select(docs.columns)
