@@ -97,3 +97,20 @@ def test_near_classes_equal_all_pairs(spark):
 def test_query_on_all_documents(spark, small):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     compare(docs, queries.op10_spots(spark, small).collect())
+
+
+def test_query_gives_the_classes_of_all_pairs(spark, small):
+    rows = queries.op10_spots(spark, small).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    prints = {k: frozenset(plain(t or "")) for k, t in texts.items()}
+    names = sorted({p for p in prints.values() if p}, key=sorted)
+    links = [(i, j) for i in range(len(names)) for j in range(i) if like(names[i], names[j]) >= 0.8]
+    root = closure(range(len(names)), links)
+    want, got = {}, {}
+    for r in rows:
+        if prints[r.doc_id]:
+            want.setdefault(root[names.index(prints[r.doc_id])], set()).add(r.doc_id)
+            got.setdefault(r.class_id, set()).add(r.doc_id)
+        else:
+            assert r.class_id is None
+    assert links and sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))

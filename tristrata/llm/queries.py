@@ -78,7 +78,7 @@ def op9_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spots.compare_edits(table(spark, sf_dir, "documents"))
+    return spots.with_classes(spots.compare_edits(table(spark, sf_dir, "documents")))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tristrata.llm.components import components
-from tristrata.llm.rows import Shelf, text_of
+from tristrata.llm.rows import Shelf, fresh, text_of
 from tristrata.operators import keys
 
 # Function words of English, German, French and Spanish.
@@ -108,6 +108,23 @@ def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     return components(links.unionByName(shelf.put(verified(more), "links")))
 
 
+def with_classes(rows: DataFrame, threshold: float = 0.8, name: str = "class_id") -> DataFrame:
+    """The rows of ``compare_edits`` and the class of their fingerprint among all near ones.
+
+    The class is the least hash of the fingerprints that links connect; texts with the same fingerprint
+    are compared once, and an empty fingerprint has no class.
+    """
+    shelf = Shelf(rows)
+    shown, key, near = F.col("fingerprint"), *fresh(rows.columns + [name], "print_key", "near_id")
+    kept = shelf.put(rows.withColumn(key, F.when(shown != "", F.xxhash64(shown))), "rows")
+    digits = F.regexp_extract_all(shown, F.lit("[0-9A-F]{8}"), F.lit(0))
+    prints = kept.where(f"{key} is not null").groupBy(F.col(key).alias("id")).agg(F.first("fingerprint").alias("fingerprint"))
+    prints = prints.select("id", F.transform(digits, lambda s: F.conv(s, 16, 10).cast("long")).alias("found"))
+    found = near_classes(prints, threshold).select(F.col("id").alias(near), F.col("component").alias(name))
+    out = kept.join(found, kept[key] == found[near], "left").withColumn(name, F.coalesce(name, key))
+    return out.drop(key, near)
+
+
 def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document's fingerprint beside that of its edited text, and its likeness to both neighbours.
 
