@@ -1,11 +1,12 @@
-"""Suffix and common-prefix arrays of one shard by external induced sorting.
+"""Suffix and common-prefix arrays of one shard by induced sorting with a queue in files.
 
 The text's left-most small suffixes (LMS) are sorted first: the substrings between them are named in
 order, and the text of names is sorted in turn. All other suffixes are induced from them. A priority
 queue whose entries are ordered by first symbol and then by arrival takes a suffix when its
 successor is drawn, with the length of what it shares with the entry before it; entries leave in
-order. The queue has a run of its own in a file for each first symbol, so the memory it takes does
-not grow with the shard. Entries are handled by runs, not one by one.
+order. The queue has a run of its own in a file for each first symbol, so its memory
+does not grow with the shard. Entries are handled by runs, not one by one. The rest does grow: the
+LMS part (codes, names and the levels of their ranks) and the masks of starts are in memory.
 """
 
 import tempfile

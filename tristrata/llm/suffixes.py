@@ -6,7 +6,7 @@
    one can only repeat if all its halves' anchors do. This leaves nothing out.
 2. What remains is dealt to shards by the anchors of the strings of full length, so equal strings
    meet in one shard, and each string is dealt once.
-3. A shard's pieces are suffix-sorted by external induced sorting; neighbours in order that share
+3. A shard's pieces are held in memory and suffix-sorted by induced sorting with a queue in files; neighbours in order that share
    the wanted length repeat each other.
 """
 
