@@ -4,9 +4,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tristrata.llm import bpe, chat, language, lines, mixing, neardocs, spots, suffixes, urls, vectors
+from tristrata.llm import (
+    alignment, audit, bpe, chat, language, lines, mixing, neardocs, personal, spots, suffixes, urls, vectors,
+)
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +84,20 @@ def op10_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spots.with_classes(spots.compare_edits(table(spark, sf_dir, "documents")))
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.scored(docs, vocabulary(), vocabulary(PIECE_BPE), ["doc_id"])
+
+
+def op13_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find(table(spark, sf_dir, "documents"), ["doc_id"])
+    return personal.digest(found, ["doc_id"])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,7 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language, op2_chat, op3_lines, op4_vectors, op5_suffixes, op6_bpe, op7_urls, op8_mixing,
-        op9_near_documents, op10_spots, pipeline,
+        op9_near_documents, op10_spots, op11_audit, op12_alignment, op13_personal, pipeline,
     )
 }
 
@@ -223,4 +240,49 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-SQL: dict[str, str] = {"op2_chat": OP2_SQL, "op4_vectors": OP4_SQL, "op7_urls": _url_sql(), "op8_mixing": OP8_SQL}
+# Orders are grown letter by letter; a step sees the failure sets that the letters before it leave.
+OP11_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM texts
+), failed AS (
+  SELECT doc_id, part,
+    CASE WHEN len(words) < 50 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails
+  FROM split
+), known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), counted AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM failed LEFT JOIN known USING (doc_id) GROUP BY part, fails
+), grown AS (
+  SELECT '' AS filter_order
+  UNION ALL
+  SELECT filter_order || letter FROM grown, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) AS v(letter)
+  WHERE NOT contains(filter_order, letter)
+), steps AS (
+  SELECT filter_order, CAST(s AS INTEGER) AS step, substr(filter_order, s, 1) AS letter, substr(filter_order, 1, s - 1) AS before
+  FROM grown, (VALUES (1), (2), (3), (4), (5)) AS v(s) WHERE length(filter_order) = 5
+), judged AS (
+  SELECT *, contains(fails, letter) AS hit, translate(fails, before, '') = fails AS alive FROM steps, counted
+), per_step AS (
+  SELECT part, filter_order, step, letter,
+    CAST(sum(CASE WHEN alive AND NOT hit THEN n ELSE 0 END) AS BIGINT) AS kept,
+    CAST(sum(CASE WHEN alive AND hit THEN n ELSE 0 END) AS BIGINT) AS removed,
+    CAST(sum(CASE WHEN NOT alive AND hit THEN n ELSE 0 END) AS BIGINT) AS redundant,
+    CAST(sum(CASE WHEN fails = letter THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+    CAST(sum(CASE WHEN alive AND hit THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+    CAST(sum(CASE WHEN alive AND hit THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM per_step
+"""
+
+SQL: dict[str, str] = {"op11_audit": OP11_SQL, "op2_chat": OP2_SQL, "op4_vectors": OP4_SQL, "op7_urls": _url_sql(), "op8_mixing": OP8_SQL}
