@@ -41,7 +41,8 @@ def wide(spark: SparkSession, sf_dir: str, on_missing: str = "drop") -> DataFram
 
 
 def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return pipeline.build_star(wide(spark, sf_dir))
+    """The star over the wide table, which is written once for the dimensions and the fact."""
+    return pipeline.build_star(scratch.table(wide(spark, sf_dir), "wide"))
 
 
 # -- raw ----------------------------------------------------------------------------------------

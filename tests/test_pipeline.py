@@ -5,7 +5,7 @@ from registry import inputs as src, layers
 from tests.helpers import plan_of, rows
 from tristrata.operators import gates as gt
 from tristrata.plans import contracts as ct, pipeline, reports, suites
-from tristrata.sources import ingest, scratch
+from tristrata.sources import scratch, snapshots
 
 
 @pytest.fixture(scope="module")
@@ -92,18 +92,43 @@ def test_conform_fills_optional_columns_and_reads_alternative_names(spark):
     assert ct.rename_present(both, {"aa": "b", "q": "r"}).columns == ["a", "b"]
 
 
-def test_run_publishes_every_layer(spark, small, tmp_path):
-    raw = {
+@pytest.fixture(scope="module")
+def raw(spark, small):
+    return {
         "airlines": src.raw_airlines(spark, small),
         "airports": src.raw_airports(spark, small),
         "flights": src.raw_flights(spark, small),
     }
-    gold = pipeline.run(spark, raw, str(tmp_path / "lake"), "2015-01-31")
-    silver = ingest.scan_partition(spark, str(tmp_path / "lake/silver/silver_flights"))
-    n = silver.count()
+
+
+def test_run_publishes_every_layer_in_one_commit(spark, small, raw, tmp_path):
+    lake, fixes = str(tmp_path / "lake"), src.airport_fixes(spark, small)
+    gold = pipeline.run(spark, raw, lake, "2015-01-31", fixes=fixes, holidays=["1995-02-03"], dow="sunday1")
+    held = snapshots.version(spark, lake, "2015-01-31")
+    assert held.number == 1
+    assert held.tables.keys() == {
+        "raw_airlines", "raw_airports", "raw_flights", "airlines", "airports", "flights", "silver_flights",
+        "dim_air", "dim_apt", "dim_dat", "fat_flt", "gate_results",
+    }
+    n = snapshots.read(spark, lake, "silver_flights").count()
     assert gold["fat_flt"].count() == n > 0
-    again = pipeline.run(spark, raw, str(tmp_path / "lake"), "2015-01-31")
-    assert again["fat_flt"].count() == n
+    dates = snapshots.read(spark, lake, "dim_dat")
+    assert rows(dates.where("is_holiday").select(F.col("full_date").cast("string"))) == [("1995-02-03",)]
+    assert rows(dates.where("day_of_week <> dayofweek(full_date)")) == []
+    results = {(r.dataset, r.gate): r.passed for r in snapshots.read(spark, lake, "gate_results").collect()}
+    assert {d for d, _ in results} == held.tables.keys() - {"gate_results"}
+    assert {g for (_, g), passed in results.items() if not passed} <= suites.REPORTED
+    assert not results["flights", "sum_consistency(arrival_delay)"]
+
+
+def test_a_gate_ends_the_run_and_nothing_shows(spark, small, raw, tmp_path):
+    lake = str(tmp_path / "lake")
+    with pytest.raises(gt.QualityError, match="latitude"):
+        pipeline.run(spark, raw, lake, "2015-01-31")  # airports without coordinates and no fixes
+    assert snapshots.dates(spark, lake) == []
+    more = {"airlines": [gt.max_length("airline_name", 3)]}
+    with pytest.raises(gt.QualityError, match="max_length"):
+        pipeline.run(spark, raw, lake, "2015-01-31", fixes=src.airport_fixes(spark, small), extra_gates=more)
 
 
 def test_reports_build_and_agree_with_the_tables(spark, small, wide):

@@ -4,9 +4,12 @@ A gate is declared once and used three ways: ``run`` counts violations of many g
 ``violations`` lists the offending rows or keys of one gate, ``watch`` attaches the row gates
 to a write so that they cost no extra scan.
 
-Row gates are a predicate and are all counted in one aggregation over one scan. Key gates need
-a shuffle each, on pre-aggregated keys, so a hot key or a large group of copies arrives as one
-row per task. Schema gates look at column names and start no job.
+Row gates are a predicate and are all counted in one aggregation over one scan. Key gates share a
+scan as well: every row gives one tagged key for each gate, and the bag of tagged keys is grouped
+once, before the shuffle and after it, so a hot key or a large group of copies arrives as one row per
+task; the known keys of all dimensions meet it in one join. Whole rows are compared by a hash first,
+and only rows whose hash repeats are compared by value. A table is probed for its first row if
+nothing else has to read it. Schema gates look at column names and start no job.
 """
 
 from collections.abc import Callable
@@ -14,9 +17,11 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add, or_
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tristrata.functions import normalize as nz
+from tristrata.operators import enrich
+from tristrata.sources import scratch
 
 RESULT_SCHEMA = "gate string, dataset string, violations bigint, passed boolean"
 
@@ -28,13 +33,20 @@ class QualityError(ValueError):
 @dataclass(frozen=True)
 class Gate:
     """``count`` is an aggregate over the rows, ``listing`` the offending rows or keys, ``names``
-    the offending column names. A row gate has ``breach`` and derives the first two from it."""
+    the offending column names. A row gate has ``breach`` and derives the first two from it.
+
+    A gate with ``key`` is counted in the shared scan of keys: the key's columns, NULL tuple for rows
+    that do not count, and ``known``, whose keys are right; without it a key is wrong if it repeats.
+    ``probe`` gates are counted from the first row."""
 
     name: str
     breach: Callable[[DataFrame], Column] | None = None
     count: Callable[[DataFrame], Column] | None = None
     listing: Callable[[DataFrame], DataFrame] | None = None
     names: Callable[[DataFrame], list[str]] | None = None
+    key: Callable[[DataFrame], Column] | None = None
+    known: Callable[[DataFrame], DataFrame] | None = None
+    probe: bool = False
 
     def counted(self, df: DataFrame) -> Column | None:
         if self.breach is not None:
@@ -119,11 +131,12 @@ def castable(col: str, type_name: str) -> Gate:
 
 
 def not_empty() -> Gate:
-    return Gate(
-        "not_empty",
-        count=lambda df: (F.count(F.lit(1)) == 0).cast("long"),
-        listing=lambda df: df.agg(F.count(F.lit(1)).alias("row_count")).where("row_count = 0"),
-    )
+    """There is a row; nothing beyond the first is read unless other gates read it anyway."""
+
+    def none_found(df: DataFrame) -> DataFrame:
+        return df.limit(1).agg(F.count(F.lit(1)).alias("row_count")).where("row_count = 0")
+
+    return Gate("not_empty", count=lambda df: (F.count(F.lit(1)) == 0).cast("long"), listing=none_found, probe=True)
 
 
 def required_columns(cols: list[str]) -> Gate:
@@ -136,22 +149,62 @@ def required_columns(cols: list[str]) -> Gate:
     return Gate("required_columns", names=missing)
 
 
+def _key_of(*columns: Column) -> Column:
+    """A key tuple as an array of texts: equal for equal tuples of one gate, NULL being a value."""
+    return F.array(*(c.cast("string") for c in columns))
+
+
+def _plain(df: DataFrame, name: str) -> Column:
+    """A key column in a form whose text tells different values apart and equal ones alike."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.col(name) + F.lit(0.0)  # the two zeros are equal
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)  # a zone's clock shows some times twice
+    if isinstance(kind, T.BinaryType):
+        return F.hex(name)
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(F.struct(name))
+    return F.col(name)
+
+
 def unique(cols: list[str]) -> Gate:
     """No key tuple occurs twice; the listing gives the keys and their row counts."""
     return Gate(
         f"unique({','.join(cols)})",
         listing=lambda df: df.groupBy(*cols).agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"),
+        key=lambda df: _key_of(*(_plain(df, c) for c in cols)),
     )
 
 
+def row_hash(df: DataFrame, cols: list[str]) -> Column:
+    """64 bits of a row's values; which columns are NULL counts too."""
+    return F.xxhash64(*cols, *(F.col(c).isNull() for c in cols))
+
+
+def suspects(df: DataFrame, cols: list[str]) -> DataFrame | None:
+    """The rows whose hash over ``cols`` occurs more than once, or None if no hash does.
+
+    Only hashes are shuffled to find them. The repeated hashes are written, so that their size is
+    known before the rows are filtered by them.
+    """
+    hashes = df.select(row_hash(df, cols).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = scratch.table(hashes.where("_n > 1").select(F.col("_hash").alias("_repeated")), "repeated")
+    if repeated.isEmpty():
+        return None
+    return df.join(enrich.measured(repeated), row_hash(df, cols) == F.col("_repeated"), "left_semi")
+
+
 def no_full_duplicates(cols: list[str] | None = None) -> Gate:
-    """No two rows agree on every (listed) column."""
-    return Gate(
-        "no_full_duplicates",
-        listing=lambda df: df.groupBy(*(cols or df.columns))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .where("cnt > 1"),
-    )
+    """No two rows agree on every (listed) column; the listing gives such rows once, with their number."""
+
+    def listing(df: DataFrame) -> DataFrame:
+        on = cols or df.columns
+        rows = suspects(df.select(*on), on)
+        rows = df.select(*on).where(F.lit(False)) if rows is None else rows
+        return rows.groupBy(*on).agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
+
+    return Gate("no_full_duplicates", listing=listing)
 
 
 def fk_exists(col: str, dim: DataFrame, dim_col: str, ignore_nulls: bool = True) -> Gate:
@@ -166,7 +219,20 @@ def fk_exists(col: str, dim: DataFrame, dim_col: str, ignore_nulls: bool = True)
         known = dim.select(F.col(dim_col).alias("_known"))
         return found.join(known, F.col("key") == F.col("_known"), "left_anti")
 
-    return Gate(f"fk_exists({col})", listing=listing)
+    def key(df: DataFrame) -> Column:
+        held = _key_of(_plain(df, col))
+        return F.when(F.col(col).isNotNull(), held) if ignore_nulls else held
+
+    def known(df: DataFrame) -> DataFrame:
+        typed = dim.select(F.col(dim_col).try_cast(df.schema[col].dataType).alias("key")).where("key IS NOT NULL")
+        return typed.select(_key_of(_plain(typed, "key")).alias("key"))
+
+    return Gate(
+        f"fk_exists({col})",
+        listing=listing,
+        key=key,
+        known=known,
+    )
 
 
 # -- execution --------------------------------------------------------------------------------
@@ -182,33 +248,62 @@ def _result(rows: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def _one_row(counts: list[tuple[str, Column]], df: DataFrame) -> DataFrame:
+    """(gate, violations) from aggregates over all rows of ``df``."""
+    one = df.agg(*(c.alias(f"g{i}") for i, (_, c) in enumerate(counts)))
+    lines = [
+        F.struct(F.lit(name).alias("gate"), F.col(f"g{i}").cast("long").alias("violations"))
+        for i, (name, _) in enumerate(counts)
+    ]
+    return one.select(F.inline(F.array(*lines)))
+
+
+def key_counts(df: DataFrame, gates: list[Gate]) -> DataFrame:
+    """(gate, violations) of all key gates from one scan of ``df``.
+
+    Each row becomes one (gate, key) pair for each gate; pairs are counted, then joined once with the
+    pairs that the dimensions allow.
+    """
+    tagged = F.array(*(F.struct(F.lit(i).alias("gate"), g.key(df).alias("key")) for i, g in enumerate(gates)))
+    pairs = df.select(F.inline(F.filter(tagged, lambda t: t["key"].isNotNull())))
+    bag = pairs.groupBy("gate", "key").agg(F.count(F.lit(1)).alias("n"))
+    allowed = [
+        g.known(df).select(F.lit(i).alias("_gate"), F.col("key").alias("_key")) for i, g in enumerate(gates) if g.known
+    ]
+    right = F.lit(None).cast("boolean")
+    if allowed:
+        side = reduce(DataFrame.unionByName, allowed).distinct().withColumn("_known", F.lit(True))
+        bag = bag.join(side, (F.col("gate") == F.col("_gate")) & (F.col("key") == F.col("_key")), "left")
+        right = F.col("_known")
+    counts = []
+    for i, g in enumerate(gates):
+        wrong = right.isNull() if g.known else F.col("n") > 1
+        counts.append((g.name, F.count_if((F.col("gate") == i) & wrong)))
+    return _one_row(counts, bag)
+
+
 def run(df: DataFrame, gates: list[Gate], dataset: str) -> DataFrame:
     """One result row per gate: gate, dataset, violations, passed."""
     spark = df.sparkSession
-    counts = [(g.name, g.counted(df)) for g in gates]
-    fused = [(name, c) for name, c in counts if c is not None]
+    by_row = [(g.name, g.counted(df)) for g in gates if g.counted(df) is not None]
+    probes = [g for g in gates if g.probe]
+    by_key = [g for g in gates if g.key is not None]
     parts = []
-    if fused:
-        one_row = df.agg(*(c.alias(f"g{i}") for i, (_, c) in enumerate(fused)))
-        lines = [
-            F.struct(F.lit(name).alias("gate"), F.col(f"g{i}").alias("violations"))
-            for i, (name, _) in enumerate(fused)
-        ]
-        parts.append(one_row.select(F.inline(F.array(*lines))))
+    if len(by_row) > len(probes):
+        parts.append(_one_row(by_row, df))
+    elif probes:  # nothing else needs the rows
+        first = df.select(F.lit(1).alias("one")).limit(1)
+        parts.append(_one_row([(g.name, g.count(df)) for g in probes], first))
+    if by_key:
+        parts.append(key_counts(df, by_key))
     for g in gates:
         if g.names is not None:
-            parts.append(
-                spark.range(1).select(
-                    F.lit(g.name).alias("gate"),
-                    F.lit(len(g.names(df))).cast("long").alias("violations"),
-                )
-            )
-        elif g.counted(df) is None:
-            parts.append(
-                g.listing(df).agg(F.count(F.lit(1)).alias("violations")).select(
-                    F.lit(g.name).alias("gate"), "violations"
-                )
-            )
+            found = spark.range(1).select(F.lit(len(g.names(df))).cast("long").alias("violations"))
+        elif g.counted(df) is None and g.key is None:
+            found = g.listing(df).agg(F.count(F.lit(1)).alias("violations"))
+        else:
+            continue
+        parts.append(found.select(F.lit(g.name).alias("gate"), "violations"))
     return _result(reduce(DataFrame.unionByName, parts), dataset)
 
 

@@ -10,10 +10,11 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tristrata.functions import normalize as nz
-from tristrata.operators import enrich, keys
+from tristrata.operators import enrich, gates, keys
 from tristrata.sources import scratch
 
 _CHUNK = 8  # distinct counts per aggregation: each one multiplies the rows it reads
+_NARROW = 3  # columns up to which a key is as cheap to move as its hash
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
@@ -361,10 +362,19 @@ def _grouped(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _repeatable(df: DataFrame, cols: list[str]) -> DataFrame:
+    """At least all rows that ``cols`` do not tell apart; wide rows that nothing repeats are left out by a hash."""
+    if len(cols) <= _NARROW:
+        return df
+    rows = gates.suspects(df, cols)
+    return df.where(F.lit(False)) if rows is None else rows
+
+
 def duplicate_count(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Rows beyond the first of each group of equal rows, as one row."""
+    on = cols or df.columns
     extra = F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0)).alias("n_duplicates")
-    return _grouped(df, cols or df.columns).agg(extra)
+    return _grouped(_repeatable(df.select(*on), on), on).agg(extra)
 
 
 def duplicate_counts_by_column(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -382,7 +392,7 @@ def duplicate_members(df: DataFrame, cols: list[str]) -> DataFrame:
 
     Keys are counted first and the rows joined back, so no group is gathered in one task.
     """
-    repeated = _grouped(df, cols).where("cnt > 1")
+    repeated = _grouped(_repeatable(df.select(*cols), cols), cols).where("cnt > 1")
     return enrich.rows_for_keys(df, repeated, cols)
 
 
@@ -404,14 +414,31 @@ def rows_of_key(df: DataFrame, values: dict[str, object], order_by: list[str]) -
 
 
 def key_collisions(df: DataFrame, key: list[str]) -> DataFrame:
-    """Keys with several rows, and whether those rows agree in every column (NULL is a value)."""
-    return (
-        _grouped(df, df.columns)
+    """Keys with several rows, and whether those rows agree in every column (NULL is a value).
+
+    Rows are grouped by key with a hash of the other columns: different hashes mean different rows.
+    Keys with several rows of one hash are written, and only their rows are compared by value.
+    """
+    rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return _grouped(df, key).where("cnt > 1").select(*key, F.col("cnt").alias("n_rows"), F.lit(True).alias("identical"))
+    place = gates.row_hash(df, rest)
+    keyed = df.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n_rows"), (F.min(place) == F.max(place)).alias("one_hash")
+    )
+    repeated = scratch.table(keyed.where("n_rows > 1"), "repeated_keys")
+    differing = repeated.where("NOT one_hash").select(*key, "n_rows", F.lit(False).alias("identical"))
+    alike = repeated.where("one_hash").select(*key)
+    if alike.isEmpty():
+        return differing
+    rows = enrich.rows_for_keys(df, alike, key)
+    compared = (
+        _grouped(rows, df.columns)
         .groupBy(*key)
         .agg(F.sum("cnt").alias("n_rows"), F.count(F.lit(1)).alias("n_variants"))
-        .where("n_rows > 1")
         .select(*key, "n_rows", (F.col("n_variants") == 1).alias("identical"))
     )
+    return differing.unionByName(compared)
 
 
 def all_collisions_identical(df: DataFrame, key: list[str]) -> DataFrame:

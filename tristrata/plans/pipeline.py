@@ -6,7 +6,8 @@ from tristrata.functions import normalize as nz
 from tristrata.operators import clean, enrich, keys, star
 from tristrata.operators import gates as gt
 from tristrata.plans import contracts as ct, suites
-from tristrata.sources import ingest, scratch, sinks
+from tristrata.sources import scratch, snapshots
+from tristrata.sources.snapshots import Layout
 
 # The order in which flights are numbered.
 FLIGHT_ORDER = [
@@ -219,6 +220,19 @@ def to_mnemonic(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+# Where rows of the large tables lie: a directory for each month, in flight order.
+LAYOUTS = {
+    "flights": Layout({"month_start": "trunc(flight_date, 'MM')"}, ("flight_date", "airline_iata_code")),
+    "silver_flights": Layout({"month_start": "trunc(flight_date, 'MM')"}, ("flight_date", "flight_id")),
+    "dim_air": Layout(order=("airline_id",)),
+    "dim_apt": Layout(order=("airport_id",)),
+    "dim_dat": Layout(order=("full_date",)),
+    "fat_flt": Layout({"month_start": "trunc(full_date, 'MM')"}, ("full_date", "flight_id")),
+}
+
+RAW = {"airlines": ct.RAW_AIRLINES, "airports": ct.RAW_AIRPORTS, "flights": ct.RAW_FLIGHTS}
+
+
 def run(
     spark: SparkSession,
     raw: dict[str, DataFrame],
@@ -226,58 +240,44 @@ def run(
     date: str,
     midnight: str = "next_day",
     on_missing: str = "drop",
+    fixes: DataFrame | None = None,
+    holidays: list[str] | DataFrame | None = None,
+    dow: str = "iso",
+    reported: frozenset[str] = suites.REPORTED,
+    extra_gates: dict[str, list[gt.Gate]] | None = None,
+    layouts: dict[str, Layout] | None = None,
 ) -> dict[str, DataFrame]:
     """Raw relations to published gold tables for one processing date.
 
-    ``raw`` holds ``airlines``, ``airports`` and ``flights``. The silver layer is written once
-    and read by every gold table; each layer is checked before it is exposed. The checks that
-    real data is known to fail (origin equals destination, delay sums, elapsed sums) are
-    available in ``suites`` and are not enforced here.
+    ``raw`` holds ``airlines``, ``airports`` and ``flights``; ``fixes`` are coordinates by airport,
+    ``holidays`` and ``dow`` go to the date dimension (the default calendar is that of 2015). Every
+    suite of ``suites`` runs on its table, plus ``extra_gates`` by table name. A failed gate ends the
+    run, except those in ``reported``, which real data is known to fail. All layers become visible in
+    one commit at the end: ``raw_*``, ``airlines``, ``airports``, ``flights``, ``silver_flights``, the
+    gold tables and ``gate_results``. Returns the gold tables and the gate results.
     """
-    base = destination.rstrip("/")
-    contracts = {
-        "airlines": ct.RAW_AIRLINES,
-        "airports": ct.RAW_AIRPORTS,
-        "flights": ct.RAW_FLIGHTS,
-    }
-    bronze = {}
-    for name, table in contracts.items():
-        path = f"{base}/raw/{name}"
-        sinks.to_bronze(raw[name], suites.raw(table), path, date, table.name)
-        bronze[name] = ingest.scan_partition(spark, path, "date", date)
-
-    base_tables = {
-        "airlines": silver_airlines(bronze["airlines"]),
-        "airports": silver_airports(bronze["airports"]),
-    }
-    gates = {
-        "airlines": suites.silver_base(ct.AIRLINES),
-        "airports": suites.silver_base(ct.AIRPORTS),
-    }
-    sinks.publish(spark, base_tables, f"{base}/silver", date, gates)
-    airlines, airports = (
-        ingest.scan_partition(spark, f"{base}/silver/{name}", "date", date)
-        for name in ("airlines", "airports")
-    )
-
-    flights = silver_flights(bronze["flights"], midnight)
-    flight_gates = [gt.not_empty(), gt.ordered("departure_time", "arrival_time")]
-    sinks.publish(spark, {"flights": flights}, f"{base}/silver", date, {"flights": flight_gates})
-    stored = ingest.scan_partition(spark, f"{base}/silver/flights", "date", date)
-    wide = obt(stored, airlines, airports, on_missing)
-    wide_gates = [
-        gt.not_empty(),
-        gt.unique(["flight_id"]),
-        gt.ordered("departure_time", "arrival_time"),
-        gt.positive("distance"),
-    ]
-    sinks.publish(
-        spark, {"silver_flights": wide}, f"{base}/silver", date, {"silver_flights": wide_gates}
+    out = snapshots.Run(spark, destination, date)
+    more = extra_gates or {}
+    placed = LAYOUTS if layouts is None else layouts
+
+    def stage(name: str, df: DataFrame, gates: list[gt.Gate]) -> DataFrame:
+        return out.stage(name, df, [*gates, *more.get(name, [])], placed.get(name), reported)
+
+    bronze = {name: stage(f"raw_{name}", raw[name], suites.raw(table)) for name, table in RAW.items()}
+    airlines = stage("airlines", silver_airlines(bronze["airlines"]), suites.silver_base(ct.AIRLINES))
+    airports = stage("airports", silver_airports(bronze["airports"], fixes), suites.silver_base(ct.AIRPORTS))
+    flights = stage(
+        "flights",
+        silver_flights(bronze["flights"], midnight),
+        [*suites.silver_flights(airports), *suites.planned_flight_checks(airlines)],
     )
-    silver = ingest.scan_partition(spark, f"{base}/silver/silver_flights", "date", date)
-
-    gold = build_star(silver)
-    sinks.publish(spark, gold, f"{base}/gold", date, suites.gold(gold))
-    return {
-        name: ingest.scan_partition(spark, f"{base}/gold/{name}", "date", date) for name in gold
-    }
+    wide = obt(flights, airlines, airports, on_missing)
+    silver = stage("silver_flights", wide, [*suites.silver_wide(), gt.no_full_duplicates()])
+    made = {"dim_air": dim_air(silver), "dim_apt": dim_apt(silver), "dim_dat": dim_dat(silver, holidays, dow)}
+    gold = {name: stage(name, df, suites.gold_dim(name)) for name, df in made.items()}
+    fact = fat_flt(silver, gold["dim_air"], gold["dim_apt"], gold["dim_dat"])
+    gold["fat_flt"] = stage("fat_flt", fact, suites.gold(gold)["fat_flt"])
+    results = out.outcome()
+    gold["gate_results"] = out.stage("gate_results", results)
+    out.commit()
+    return gold

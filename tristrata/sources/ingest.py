@@ -59,7 +59,7 @@ def list_files(
     return kept
 
 
-def _is_date(text: str) -> bool:
+def is_date(text: str) -> bool:
     try:
         return datetime.strptime(text, "%Y-%m-%d").strftime("%Y-%m-%d") == text
     except ValueError:
@@ -71,14 +71,14 @@ def resolve_partition(
 ) -> str:
     """The processing date to read: the newest one present, or the given one if it is a date."""
     if mode == "date":
-        if not date or not _is_date(date):
+        if not date or not is_date(date):
             raise ValueError(f"not a processing date (YYYY-MM-DD): {date}")
         return date
     if mode != "latest":
         raise ValueError(f"unknown mode: {mode}")
     folders = fs.glob(spark, f"{path.rstrip('/')}/{PARTITION}=*", directories=True)
     dates = [f.rsplit("=", 1)[-1] for f in folders]
-    valid = sorted(d for d in dates if _is_date(d))
+    valid = sorted(d for d in dates if is_date(d))
     if not valid:
         raise FileNotFoundError(f"no processing date in {path}")
     return valid[-1]

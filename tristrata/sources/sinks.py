@@ -1,14 +1,18 @@
 """Layer writes, reconciliation and publication."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tristrata.operators import gates as gt
-from tristrata.sources import fs
+from tristrata.sources import fs, snapshots
 from tristrata.sources.ingest import PARTITION
+from tristrata.sources.snapshots import Layout, ReconciliationError, counted, reconcile
 
-
-class ReconciliationError(ValueError):
-    """The written table does not hold the rows that were sent."""
+__all__ = [
+    "Layout", "ReconciliationError", "as_table", "as_view", "counted", "publish", "reconcile", "to_bronze",
+    "write_csv", "write_csv_chunks", "write_layer",
+]
 
 
 def write_layer(
@@ -38,9 +42,32 @@ def write_layer(
 
 
 def to_bronze(df: DataFrame, gates: list[gt.Gate], path: str, date: str, dataset: str) -> None:
-    """Write a raw relation as Parquet for one processing date, once its gates pass."""
-    gt.enforce(gt.run(df, gates, dataset))
-    write_layer(df, path, date)
+    """Write a raw relation as Parquet for one processing date, once its gates pass.
+
+    Names are checked first; row gates are counted while the rows are written aside, and key gates
+    read what was written, so the raw data is read once. Only then does the folder take its place.
+    """
+    aside = f"{path.rstrip('/')}/_aside-{uuid.uuid4().hex}"
+    by_name = [g for g in gates if g.names is not None]
+    by_row = [g for g in gates if g.names is None and g.counted(df) is not None]
+    by_key = [g for g in gates if g.names is None and g.counted(df) is None]
+    if by_name:
+        gt.enforce(gt.run(df, by_name, dataset))
+    watched, result = gt.watch(df, by_row, dataset) if by_row else (df, None)
+    try:
+        watched.write.parquet(aside)
+        if result:
+            gt.enforce(result())
+        if by_key:
+            gt.enforce(gt.run(df.sparkSession.read.schema(df.schema).parquet(aside), by_key, dataset))
+        fs.move_directory(df.sparkSession, aside, f"{path.rstrip('/')}/{PARTITION}={date}")
+    finally:
+        fs.delete(df.sparkSession, aside)
+
+
+def write_csv(df: DataFrame, path: str, append: bool = False) -> None:
+    """One relation as CSV with a header; one file if it is small (an inventory, gate results)."""
+    df.coalesce(1).write.mode("append" if append else "overwrite").option("header", True).csv(path)
 
 
 def write_csv_chunks(df: DataFrame, path: str, n: int) -> None:
@@ -48,60 +75,23 @@ def write_csv_chunks(df: DataFrame, path: str, n: int) -> None:
     df.repartition(n).write.mode("overwrite").option("header", True).csv(path)
 
 
-def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """Count the rows of ``df`` while it is written.
-
-    Write the result directly: a shuffle after this point could repeat a task and its count.
-    """
-    observation = Observation()
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
-
-
-def reconcile(written: int, target: DataFrame, name: str) -> None:
-    """Compare the rows sent with the rows found in the target."""
-    found = target.count()
-    if found != written:
-        raise ReconciliationError(f"{name}: {written} rows sent, {found} found")
-
-
 def publish(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     path: str,
     date: str,
     gates: dict[str, list[gt.Gate]] | None = None,
+    layouts: dict[str, Layout] | None = None,
 ) -> DataFrame:
-    """Write tables beside the target, check them, then move them into place.
+    """Write and check a set of tables, then make them visible in one commit.
 
-    Row gates and row counts are taken during the write; key gates and the reconciliation read
-    the staged files. If anything fails, the published tables stay as they were and the staged
-    ones remain for inspection. Returns the gate results.
+    If anything fails before the commit, readers keep the last version. Returns the gate results.
     """
-    base = path.rstrip("/")
-    results: DataFrame | None = None
+    run = snapshots.Run(spark, path, date)
     for name, df in tables.items():
-        staged = f"{base}/_staging/{date}/{name}"
-        checks = (gates or {}).get(name, [])
-        by_row = [g for g in checks if g.counted(df) is not None]
-        by_key = [g for g in checks if g.counted(df) is None]
-        df, sent = counted(df)
-        if by_row:
-            df, row_result = gt.watch(df, by_row, name)
-        df.write.mode("overwrite").parquet(staged)
-        found = spark.read.parquet(staged)
-        reconcile(sent.get["rows"], found, name)
-        parts = ([row_result()] if by_row else []) + (
-            [gt.run(found, by_key, name)] if by_key else []
-        )
-        for part in parts:
-            results = part if results is None else results.unionByName(part)
-    if results is not None:
-        results = spark.createDataFrame(results.collect(), gt.RESULT_SCHEMA)
-        gt.enforce(results)
-    for name in tables:
-        staged = f"{base}/_staging/{date}/{name}"
-        fs.move_directory(spark, staged, f"{base}/{name}/{PARTITION}={date}")
-    return results if results is not None else spark.createDataFrame([], gt.RESULT_SCHEMA)
+        run.stage(name, df, (gates or {}).get(name), (layouts or {}).get(name))
+    run.commit()
+    return run.outcome()
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -110,7 +100,28 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def as_table(df: DataFrame, name: str) -> DataFrame:
-    """Materialise a silver or gold relation as a table of the session's catalog."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def as_table(
+    df: DataFrame,
+    name: str,
+    buckets: int | None = None,
+    by: tuple[str, ...] = (),
+    path: str | None = None,
+) -> DataFrame:
+    """Materialise a silver or gold relation as a table of the session's catalog.
+
+    With ``buckets`` the rows are dealt to that many files by a hash of the columns ``by``, and sorted
+    by them: tables with equal buckets then join or group on ``by`` without a shuffle. A bucket is
+    read by one task, so ``by`` should be a key, or have no value with a large part of the rows.
+    ``path`` puts the files elsewhere than in the warehouse.
+    """
+    if bool(buckets) != bool(by):
+        raise ValueError("buckets and their columns go together")
+    if buckets:
+        df = df.repartition(buckets, *by)  # the hash that deals buckets: one file for each
+    writer = df.write.mode("overwrite").format("parquet")
+    if buckets:
+        writer = writer.bucketBy(buckets, *by).sortBy(*by)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
