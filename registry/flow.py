@@ -1,10 +1,12 @@
 """Queries that write and read back: CSV chunks, partitioned layers, publication, inventory."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from registry import inputs as src, sql
 from registry.entry import Entry
-from tristrata.operators import gates as gt
+from tristrata.operators import gates as gt, profile as pf, sketches as sk
 from tristrata.plans import contracts as ct, pipeline
 from tristrata.sources import ingest, scratch, sinks, snapshots
 from tristrata.sources.snapshots import Layout
@@ -233,6 +235,124 @@ def pipeline_fact(spark, sf_dir):
     return snapshots.read(spark, path, "fat_flt")
 
 
-@_add("file_inventory")
+@_add(
+    "file_inventory",
+    """SELECT o_orderstatus, count(*) AS n_rows, 'PARQUET' AS file_format, DATE '2015-01-31' AS ingestion_date,
+         TRUE AS all_sized, TRUE AS all_named FROM orders GROUP BY o_orderstatus""",
+)
 def file_inventory(spark, sf_dir):
-    return ingest.file_inventory(spark, f"{sf_dir}/lineitem.parquet", "parquet", DAY)
+    """Files of a partitioned table, their inventory written as CSV and read back."""
+    path = scratch.new_path(spark, "layer")
+    sinks.write_layer(src.table(spark, sf_dir, "orders"), path, DAY, ("o_orderstatus",))
+    listed = scratch.new_path(spark, "inventory")
+    sinks.write_csv(ingest.file_inventory(spark, path, "parquet", DAY), listed)
+    back = ingest.scan_csv(
+        spark, listed, ["file_name", "file_path", "file_format", "row_count", "file_size_bytes", "ingestion_date"], name_filter="*.csv"
+    )
+    return back.groupBy(
+        F.regexp_extract("file_path", "o_orderstatus=([^/]*)", 1).alias("o_orderstatus"), "file_format",
+        F.col("ingestion_date").cast("date").alias("ingestion_date"),
+    ).agg(
+        F.sum(F.col("row_count").cast("long")).alias("n_rows"),
+        F.bool_and(F.col("file_size_bytes").cast("long") > 0).alias("all_sized"),
+        F.bool_and(F.col("file_path").endswith(F.col("file_name"))).alias("all_named"),
+    )
+
+
+@_add(
+    "csv_header_union",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+         CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+)
+def csv_header_union(spark, sf_dir):
+    """Chunks in another column order, with a further column, and in upper case."""
+    path = scratch.new_path(spark, "csv")
+    orders = _orders(spark, sf_dir)
+    shapes = (
+        ["o_orderstatus", "o_orderkey"], ["o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus"], ["O_ORDERKEY", "O_ORDERSTATUS"],
+    )
+    for i, names in enumerate(shapes):
+        part = orders.where(F.col("o_orderkey") % 3 == i).select(*(F.col(n.lower()).alias(n) for n in names))
+        sinks.write_csv_chunks(part, f"{path}/{i}", 2)
+    files = [f for i in range(len(shapes)) for f in ingest.list_files(spark, f"{path}/{i}", "part-*.csv")]
+    return ingest.scan_csv_union(spark, files, ["o_orderkey", "o_orderstatus"], ("o_orderpriority",), extra="drop")
+
+
+@_add(
+    "bucketed_join",
+    """SELECT o_orderpriority, count(*) AS n_lines, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority""",
+)
+def bucketed_join(spark, sf_dir):
+    """Two catalogue tables with equal buckets; the join moves no row."""
+    lines, orders = bucketed_pair(spark, sf_dir)
+    both = lines.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return both.groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").cast("double").alias("quantity")
+    )
+
+
+def bucketed_pair(spark, sf_dir):
+    out = []
+    for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+        stored = f"bucketed_{name}_{uuid.uuid4().hex}"
+        df = src.table(spark, sf_dir, name)
+        out.append(sinks.as_table(df, stored, 16, (key,), scratch.new_path(spark, stored)))
+    return out
+
+
+_SKETCHED = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_returnflag", "l_linestatus"]
+
+
+def _sketches(spark, sf_dir):
+    """Summaries of the line items of each ship year, written, as they are kept for each batch."""
+    lineitem = src.table(spark, sf_dir, "lineitem").withColumn("batch", F.year("l_shipdate"))
+    path = scratch.new_path(spark, "sketches")
+    sk.summarise(lineitem.select("batch", *_SKETCHED), batch="batch").write.partitionBy("batch").parquet(path)
+    return sk.estimates(sk.merge(spark.read.parquet(path)))
+
+
+@_add(
+    "sketch_cardinality",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS n_known, TRUE AS within FROM lineitem" for c in _SKETCHED
+    ),
+)
+def sketch_cardinality(spark, sf_dir):
+    """Distinct values from merged sketches, and whether each is within the bound of the exact number."""
+    exact = pf.cardinality(src.table(spark, sf_dir, "lineitem").select(*_SKETCHED)).withColumnRenamed("n_unique", "exact")
+    found = _sketches(spark, sf_dir).join(exact, "column")
+    off = F.abs(F.col("n_unique") - F.col("exact"))
+    return found.select("column", "n_rows", "n_known", (off <= sk.DISTINCT_ERROR * F.col("exact") + 0.5).alias("within"))
+
+
+@_add(
+    "sketch_quantiles",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high,
+            TRUE AS within_p25, TRUE AS within_p50, TRUE AS within_p75 FROM lineitem"""
+        for c in ("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+    ),
+)
+def sketch_quantiles(spark, sf_dir):
+    """Quartiles from merged sketches, and whether the rank of each is within the bound."""
+    names = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"]
+    lineitem = src.table(spark, sf_dir, "lineitem")
+    found = _sketches(spark, sf_dir).where(F.col("column").isin(names))
+    pairs = F.array(*(F.struct(F.lit(c).alias("of"), F.col(c).cast("double").alias("value")) for c in names))
+    values = lineitem.select(F.inline(pairs)).groupBy("of", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranks = values.join(F.broadcast(found), F.col("of") == F.col("column")).groupBy("column", "low", "high").agg(  # four rows
+        F.sum("n").alias("all"),
+        *(
+            F.sum(F.when(test, F.col("n")).otherwise(0)).alias(f"{side}_{p}")
+            for p in ("p25", "p50", "p75")
+            for side, test in (("below", F.col("value") < F.col(p)), ("upto", F.col("value") <= F.col(p)))
+        ),
+    )
+    within = [
+        (
+            (F.col(f"below_{p}") <= (r + sk.RANK_ERROR) * F.col("all")) & (F.col(f"upto_{p}") >= (r - sk.RANK_ERROR) * F.col("all"))
+        ).alias(f"within_{p}")
+        for p, r in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    ]
+    return ranks.select("column", "low", "high", *within)

@@ -139,3 +139,87 @@ def test_gates_from_a_contract(spark):
         "max_length(code,2)": 1,
         "fk_exists(ref)": 1,
     }
+
+
+def formatted(df) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_key_gates_share_one_scan_and_one_join(spark, small):
+    lineitem, orders, part, supplier = (
+        spark.read.parquet(f"{small}/{t}.parquet") for t in ("lineitem", "orders", "part", "supplier")
+    )
+    gates = [
+        gt.unique(["l_orderkey", "l_linenumber"]),
+        gt.unique(["l_partkey"]),
+        gt.fk_exists("l_orderkey", orders, "o_orderkey"),
+        gt.fk_exists("l_partkey", part, "p_partkey", ignore_nulls=False),
+        gt.fk_exists("l_suppkey", supplier.where("s_suppkey > 3"), "s_suppkey"),
+    ]
+    result = gt.run(lineitem, gates, "lineitem")
+    plan = formatted(result)
+    assert plan.count("lineitem.parquet]") == 1
+    assert plan.count("Join (") // 2 == 1 or plan.count("Join LeftOuter") + plan.count("SortMergeJoin(") <= 1
+    apart = {g.name: gt.violations(lineitem, g).count() for g in gates}
+    assert {r.gate: r.violations for r in result.collect()} == apart
+
+
+def test_shared_keys_of_many_types(spark):
+    df = spark.createDataFrame(
+        [(0.0, b"a", ["x", None], None, 1), (-0.0, b"a", ["x", None], "NULL", 1), (1.5, b"b", ["x", "null"], "", 2), (None, None, None, None, None)],
+        "f double, b binary, a array<string>, s string, k int",
+    )
+    gates = [gt.unique([c]) for c in ("f", "b", "a", "s")] + [gt.unique(["s", "k"])]
+    apart = {g.name: gt.violations(df, g).count() for g in gates}
+    assert counts(df, *gates) == apart == {"unique(f)": 1, "unique(b)": 1, "unique(a)": 1, "unique(s)": 1, "unique(s,k)": 0}
+
+
+def test_foreign_keys_of_another_type_and_repeated_dimension_keys(spark):
+    fact = spark.createDataFrame([(1,), (2,), (None,), (9,), (9,)], "k int")
+    dim = spark.createDataFrame([("1",), ("2",), ("2",), (None,), ("x",)], "id string")
+    assert counts(fact, gt.fk_exists("k", dim, "id")) == {"fk_exists(k)": 1}
+    assert counts(fact, gt.fk_exists("k", dim, "id", ignore_nulls=False)) == {"fk_exists(k)": 2}
+    wide = spark.createDataFrame([(1,), (2**40,)], "id bigint")
+    assert counts(fact, gt.fk_exists("k", wide, "id")) == {"fk_exists(k)": 2}
+
+
+def test_a_probe_stops_at_the_first_row(spark, small):
+    lineitem = spark.read.parquet(f"{small}/lineitem.parquet")
+    alone = gt.run(lineitem, [gt.not_empty()], "t")
+    assert "Limit 1" in formatted(alone) or "LocalLimit" in formatted(alone)
+    assert "ReadSchema: struct<>" in formatted(alone)
+    shared = formatted(gt.run(lineitem, [gt.not_empty(), gt.positive("l_discount")], "t"))
+    assert "Limit" not in shared and shared.count("lineitem.parquet]") == 1
+
+
+def test_distinct_rows_are_never_moved_whole(spark, small):
+    lineitem = spark.read.parquet(f"{small}/lineitem.parquet")
+    plan = formatted(gt.run(lineitem, [gt.no_full_duplicates()], "t"))
+    moved = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert not any("l_comment" in line or "l_quantity" in line for line in moved)
+    assert counts(lineitem, gt.no_full_duplicates()) == {"no_full_duplicates": 0}
+
+
+def test_rows_with_one_hash_are_compared_by_value(spark, monkeypatch):
+    """With a hash that tells nothing apart the answers stay the same."""
+    from pyspark.sql import functions as F
+    from tristrata.operators import profile as pf
+
+    df = spark.createDataFrame(
+        [(1, None, "a"), (1, "a", None), (2, "b", "b"), (2, "b", "b"), (3, "c", "c"), (3, "c", "d"), (4, "e", "e")], "k int, x string, y string"
+    )
+    wide = df.withColumns({"z": F.lit(1), "w": F.lit(2)})
+
+    def answers():
+        return (
+            counts(df, gt.no_full_duplicates()), rows(gt.violations(df, gt.no_full_duplicates())),
+            rows(pf.duplicate_count(wide)), rows(pf.duplicate_members(wide, wide.columns)),
+            rows(pf.key_collisions(df, ["k"]), "k"), rows(pf.all_collisions_identical(df, ["k"])),
+        )
+
+    plain = answers()
+    assert plain[0] == {"no_full_duplicates": 1} and plain[2] == [(1,)] and len(plain[3]) == 2
+    assert plain[4] == [(1, 2, False), (2, 2, True), (3, 2, False)] and plain[5] == [(False,)]
+    monkeypatch.setattr(gt, "row_hash", lambda df, cols: F.lit(7).cast("long") + F.size(F.array(*(F.lit(1) for _ in cols))))
+    assert answers() == plain

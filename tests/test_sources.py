@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import rows
+from registry.flow import bucketed_pair
+from tests.helpers import plan_of, rows
 from tristrata.operators import gates as gt
 from tristrata.sources import fs, ingest, jdbc, scratch, sinks, snapshots
 
@@ -132,15 +133,92 @@ def test_views_and_tables(spark, orders):
     assert sinks.as_view(orders, "orders_view").count() == spark.table("orders_view").count()
 
 
+def test_buckets_join_without_moving_rows(spark, small):
+    lines, orders = bucketed_pair(spark, small)
+    joined = lines.hint("merge").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    plan = plan_of(joined)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert "Exchange" not in plan_of(lines.groupBy("l_orderkey").count())
+    assert joined.count() == spark.read.parquet(f"{small}/lineitem.parquet").count()
+    assert len(fs.glob(spark, f"{lines.inputFiles()[0].rsplit('/', 1)[0]}/part-*", False)) == 16
+
+
+def test_tables_replace_and_buckets_need_columns(spark, orders, tmp_path):
+    for n in (5, 2):
+        stored = sinks.as_table(orders.limit(n), "plain_orders", path=str(tmp_path / f"t{n}"))
+        assert stored.count() == n
+    for bad in ({"buckets": 4}, {"by": ("o_orderkey",)}):
+        with pytest.raises(ValueError):
+            sinks.as_table(orders, "plain_orders", **bad)
+    spark.sql("DROP TABLE plain_orders")
+
+
 def test_file_inventory_lists_empty_files(spark, orders, tmp_path):
     path = str(tmp_path / "data")
     orders.repartition(3).write.parquet(path)
     orders.where("false").write.mode("append").parquet(path)
-    listed = ingest.file_inventory(spark, path, "parquet", "2015-01-01").collect()
+    found = ingest.file_inventory(spark, path, "parquet", "2015-01-01")
+    listed = found.collect()
     assert sum(r.row_count for r in listed) == orders.count()
     assert any(r.row_count == 0 for r in listed)
     assert all(r.file_size_bytes > 0 and r.file_format == "PARQUET" for r in listed)
     assert all(r.file_path.endswith(r.file_name) for r in listed)
+    assert "FileScan parquet" not in plan_of(found)
+
+
+def test_inventories_by_footer_and_by_scan_agree(spark, orders, tmp_path, monkeypatch):
+    path = str(tmp_path / "with space")
+    orders.repartition(2).write.partitionBy("o_orderstatus").parquet(path)
+    footers = rows(ingest.file_inventory(spark, path), "file_path")
+    monkeypatch.setattr(ingest, "DIRECT", frozenset())
+    scanned = ingest.file_inventory(spark, path)
+    assert rows(scanned, "file_path") == footers and len(footers) > 2
+    assert "ReadSchema: struct<>" in plan_of(scanned)
+    orders.write.option("header", True).csv(str(tmp_path / "c"))
+    csv = ingest.file_inventory(spark, str(tmp_path / "c"), "csv").collect()
+    assert sum(r.row_count for r in csv) == orders.count()
+
+
+def test_inventory_written_as_csv_grows_by_run(spark, orders, tmp_path):
+    path, listed = str(tmp_path / "data"), str(tmp_path / "listed")
+    orders.write.parquet(path)
+    for day in ("2015-01-01", "2015-01-02"):
+        sinks.write_csv(ingest.file_inventory(spark, path, "parquet", day), listed, append=True)
+    back = spark.read.option("header", True).csv(listed)
+    assert {r.ingestion_date for r in back.collect()} == {"2015-01-01", "2015-01-02"}
+
+
+def write_files(folder, files):
+    for name, text in files.items():
+        (folder / name).write_text(text, encoding="utf-8")
+    return [f"{folder}/{name}" for name in files]
+
+
+def test_files_with_other_headers_are_united_by_name(spark, tmp_path):
+    files = write_files(tmp_path, {
+        "a.csv": "A,B\n1,2\n", "b.csv": "b,a,C\n20,10,30\n", "c.csv": '\ufeffB,"A"\n"x,y",\n', "d.csv": "A,B\n",
+    })
+    got = ingest.scan_csv_union(spark, files, ["A", "B"], ("C",))
+    assert got.dtypes == [("A", "string"), ("B", "string"), ("C", "string")]
+    assert sorted(rows(got), key=str) == [("1", "2", None), ("10", "20", "30"), (None, "x,y", None)]
+    with pytest.raises(ValueError, match="undeclared columns: \\['c'\\]"):
+        ingest.scan_csv_union(spark, files, ["A", "B"])
+    assert ingest.scan_csv_union(spark, files, ["B"], extra="drop").count() == 3
+    with pytest.raises(KeyError, match="C"):
+        ingest.scan_csv_union(spark, files, ["A", "B", "C"])
+
+
+def test_header_union_of_odd_files(spark, tmp_path):
+    semicolons = write_files(tmp_path, {"s.csv": "A;B.x\n1;2\n"})
+    assert rows(ingest.scan_csv_union(spark, semicolons, ["B.x"], ("A",), options={"sep": ";"})) == [("2", "1")]
+    with pytest.raises(ValueError, match="repeats"):
+        ingest.scan_csv_union(spark, write_files(tmp_path, {"r.csv": "a,A\n1,2\n"}), ["a"])
+    with pytest.raises(KeyError):
+        ingest.scan_csv_union(spark, write_files(tmp_path, {"e.csv": ""}), ["a"])
+    with pytest.raises(ValueError):
+        ingest.scan_csv_union(spark, [], ["a"])
+    with pytest.raises(ValueError):
+        ingest.scan_csv_union(spark, semicolons, ["a"], extra="keep")
 
 
 def test_scratch_uses_the_folder_named_by_the_session(spark, orders):

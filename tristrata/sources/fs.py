@@ -48,6 +48,22 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, without its end; no more than a few blocks are read."""
+    system, target = _at(spark, path)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(system.open(target), "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of its file system."""
+    system, target = _at(spark, path)
+    return system.makeQualified(target).toString()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file, replacing what is there."""
     system, target = _at(spark, path)

@@ -1,12 +1,16 @@
 """Scans of raw files and of date-partitioned layers."""
 
+import csv
 from datetime import datetime
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tristrata.sources import fs
 
 PARTITION = "ingest_date"
+DIRECT = frozenset({"file", "s3", "gs"})  # stores whose files a task can open without Spark
 
 
 def scan_csv(
@@ -38,6 +42,54 @@ def scan_csv(
     return reader.schema(schema).option("enforceSchema", False).csv(files)
 
 
+def csv_header(spark: SparkSession, path: str, sep: str = ",") -> tuple[str, ...]:
+    """Column names in a file's first line; only its beginning is read."""
+    line = fs.first_line(spark, path).removeprefix("\ufeff")
+    return tuple(next(csv.reader([line], delimiter=sep), []))
+
+
+def scan_csv_union(
+    spark: SparkSession,
+    paths: list[str],
+    columns: list[str],
+    optional: tuple[str, ...] = (),
+    extra: str = "raise",
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """One relation of text columns from CSV files whose headers differ.
+
+    Files are grouped by header, each group is one scan with its header checked, and the groups are
+    united by name in the order of ``columns``. Names match in any letter case. A column of ``optional``
+    that a file lacks is NULL there; lacking another raises KeyError. Columns that are not declared
+    raise ValueError, or are left out with ``extra="drop"``. Headers are read on the driver, one short
+    read for each file, as is the listing.
+    """
+    if extra not in ("raise", "drop"):
+        raise ValueError(f"unknown rule for undeclared columns: {extra}")
+    if not paths:
+        raise ValueError("no CSV files to read")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(csv_header(spark, path, (options or {}).get("sep", ",")), []).append(path)
+    wanted = [*columns, *(c for c in optional if c not in columns)]
+    parts = []
+    for header, files in groups.items():
+        held = {name.lower(): name for name in header}
+        if len(held) < len(header):
+            raise ValueError(f"a header repeats a name: {files[0]}")
+        missing = [c for c in wanted if c.lower() not in held and c not in optional]
+        if missing:
+            raise KeyError(f"missing columns: {missing} in {files[0]}")
+        unknown = sorted(held.keys() - {c.lower() for c in wanted})
+        if unknown and extra == "raise":
+            raise ValueError(f"undeclared columns: {unknown} in {files[0]}")
+        found = scan_csv(spark, files, list(header), options)
+        parts.append(found.select(*(
+            F.col(f"`{held[c.lower()]}`").alias(c) if c.lower() in held else F.lit(None).cast("string").alias(c) for c in wanted
+        )))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def scan(
     spark: SparkSession, fmt: str, path: str | list[str], options: dict[str, str] | None = None
 ) -> DataFrame:
@@ -92,13 +144,32 @@ def scan_partition(
     return spark.read.parquet(f"{path.rstrip('/')}/{PARTITION}={chosen}")
 
 
+def _footers(files: DataFrame) -> DataFrame:
+    """``_path`` and ``_rows`` of Parquet files from their footers, read in tasks."""
+
+    def run(batches):
+        from pyarrow import fs as stores, parquet
+
+        for batch in batches:
+            counts = []
+            for path in batch.column(0).to_pylist():
+                store, place = stores.FileSystem.from_uri(path)
+                with store.open_input_file(place) as opened:
+                    counts.append(parquet.read_metadata(opened).num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["_path", "_rows"])
+
+    return files.mapInArrow(run, "_path string, _rows long")
+
+
 def file_inventory(
     spark: SparkSession, path: str, fmt: str = "parquet", date: str | None = None
 ) -> DataFrame:
     """Name, path, format, row count and size of every data file below ``path``.
 
     Sizes come from the file listing (contents are not read), so files with no rows show up
-    with a count of zero.
+    with a count of zero. Row counts of Parquet files come from their footers where tasks can open
+    the files themselves (``DIRECT``), one file at a time; elsewhere, and for other formats, the files
+    are scanned, Parquet without any column.
     """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
@@ -109,10 +180,13 @@ def file_inventory(
             F.col("_metadata.file_size").alias("file_size_bytes"),
         )
     )
-    data = scan(spark, fmt, path, {"recursiveFileLookup": "true"})
-    rows = data.groupBy(F.col("_metadata.file_path").alias("_path")).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
+    scheme = fs.qualified(spark, path).split(":", 1)[0]
+    if fmt.lower() == "parquet" and scheme in DIRECT:
+        spread = spark.sparkContext.defaultParallelism
+        rows = _footers(listing.select("file_path").repartition(spread, "file_path"))
+    else:
+        data = scan(spark, fmt, path, {"recursiveFileLookup": "true"})
+        rows = data.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("_rows"))
     return listing.join(rows, F.col("file_path") == F.col("_path"), "left").select(
         "file_name",
         "file_path",
