@@ -1,6 +1,6 @@
 """Registered queries over the given tables, each with its SQL counterpart where one exists."""
 
-from registry import flow, layers, profiles, quality
+from registry import flow, layers, profiles, quality, reporting
 from registry.entry import Entry
 
 ENTRIES: dict[str, Entry] = {
@@ -8,4 +8,5 @@ ENTRIES: dict[str, Entry] = {
     **quality.ENTRIES,
     **profiles.ENTRIES,
     **flow.ENTRIES,
+    **reporting.ENTRIES,
 }

@@ -367,7 +367,8 @@ def describe_times(spark, sf_dir):
     ),
 )
 def describe_difference(spark, sf_dir):
-    off = reports.elapsed_difference(layers.flights(spark, sf_dir)).select("time_difference")
+    timed = layers.flights(spark, sf_dir).select(reports.elapsed_difference().alias("time_difference"))
+    off = timed.where("time_difference IS NOT NULL")
     return rounded(pf.describe(scratch.table(off, "difference")))
 
 
@@ -582,32 +583,3 @@ _PART = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type
 )
 def column_types(spark, sf_dir):
     return pf.column_types(src.table(spark, sf_dir, "part").select(*_PART))
-
-
-# -- reports ------------------------------------------------------------------------------------
-
-
-def _row_counts(tables):
-    """One row per table of a report: its name and its number of rows."""
-    parts = [
-        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), "n_rows")
-        for name, df in tables.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-@_add("report_raw")
-def report_raw(spark, sf_dir):
-    airlines, airports = (
-        scratch.table(f(spark, sf_dir), "raw") for f in (src.raw_airlines, src.raw_airports)
-    )
-    return _row_counts(reports.raw_report(airlines, airports, _raw(spark, sf_dir)))
-
-
-@_add("report_silver")
-def report_silver(spark, sf_dir):
-    wide = scratch.table(layers.wide(spark, sf_dir), "wide")
-    return _row_counts(reports.silver_report(wide))

@@ -177,6 +177,13 @@ def unique(cols: list[str]) -> Gate:
     )
 
 
+def key_text(df: DataFrame, cols) -> Column:
+    """A key tuple as one text: different tuples differ, and NULL is a value."""
+    escaped = [F.regexp_replace(_plain(df, c).cast("string"), r"([\\|])", r"\\$1") for c in cols]
+    parts = [F.coalesce(e, F.lit(r"\N")) for e in escaped]
+    return F.concat_ws("|", *parts)
+
+
 def row_hash(df: DataFrame, cols: list[str]) -> Column:
     """64 bits of a row's values; which columns are NULL counts too."""
     return F.xxhash64(*cols, *(F.col(c).isNull() for c in cols))
