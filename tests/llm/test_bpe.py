@@ -1,5 +1,6 @@
 import hashlib
 import random
+from itertools import chain
 
 import pytest
 
@@ -52,9 +53,39 @@ def test_pair_checks_agree_with_merging():
     assert made.encode_words([w.decode() for w in words]) == [tuple(made.merge(w)) for w in words]
 
 
-def test_no_rows_and_memory_limit(spark, monkeypatch):
+def test_words_forgotten_and_seen_again_stay_right():
+    made = bpe._loaded(open(queries.vocabulary(), encoding="utf-8").read())
+    memory = bpe.Memory(made, limit=50)
+    texts = mixed(120) + NASTY
+    for text in texts + texts[::-1]:
+        got = memory.encode([text or ""])
+        assert got == [list(chain.from_iterable(tuple(made.merge(w.encode())) if w not in made.added else (made.added[w],) for w in made.pieces(text or "")))]
+        assert all(len(w) <= bpe.CACHED_LETTERS for w in memory.young if w not in made.added)
+    assert memory.old and len(memory.young) < 2000
+
+
+def test_latin_texts_split_as_others():
+    made = bpe._loaded(open(queries.vocabulary(), encoding="utf-8").read())
+    rng = random.Random(4)
+    signs = [chr(c) for c in range(bpe.LATIN)] + ["'s", " ", "  ", "'ll", "a", "1"]
+    for _ in range(3000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randrange(40)))
+        assert made.latin.findall(text) == made.words.findall(text)
+
+
+def test_round_trip_is_encoding_and_decoding(spark):
+    texts = NASTY + mixed(100)
+    given = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts * 2)], "doc_id long, text string, _whole_text string")
+    got = bpe.round_trip(given, queries.vocabulary(), ["doc_id", "_whole_text"]).orderBy("doc_id").collect()
+    assert [(list(r.ids), r.decoded) for r in got] == expected(texts * 2)
+    with pytest.raises(ValueError):
+        bpe.round_trip(given.withColumnRenamed("_whole_text", "IDS"), queries.vocabulary(), ["IDS"])
+
+
+def test_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
-    assert bpe.encode(none, queries.vocabulary(), ["doc_id"]).collect() == []
+    for made in (bpe.encode, bpe.round_trip):
+        assert made(none, queries.vocabulary(), ["doc_id"]).collect() == []
 
 
 def test_query(spark, small):

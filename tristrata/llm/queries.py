@@ -49,18 +49,19 @@ def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffixes.drop_repeats(table(spark, sf_dir, "documents"), ["doc_id"])
-    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+    return left.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"),
+        F.octet_length("kept_bytes").cast("long").alias("n_kept"),
+    )
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary()
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, ["doc_id"])
-    listed = encoded.select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+    both = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary(), ["doc_id"])
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode(listed, path, ["doc_id", "n_tokens", "ids_sha256"])
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
