@@ -31,10 +31,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
-    path = queries.vocabulary()
-    encoded = bpe.encode(docs, path, ["doc_id", "source", "text"])
-    back = bpe.decode(encoded, path, ["doc_id", "source", "text", "ids"])
-    return back.select(
+    both = bpe.round_trip(docs, queries.vocabulary(), ["doc_id", "source", "text"])
+    return both.select(
         "doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
