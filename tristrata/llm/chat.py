@@ -1,9 +1,10 @@
 r"""Chat formatting that a deterministic parser reads back.
 
 A turn is ``[INST] role [/INST]text</s>``; a conversation is its turns in order. The grammar is
-regular: ``</s>`` ends a turn, the first `` [/INST]`` of a turn ends its role. A text is rendered as
-it is, parsed again and compared with its source. Where the two differ it holds a control string
-(or an escaped one); it is escaped and compared again. Escaping puts one more ``\`` behind the first
+regular: ``</s>`` ends a turn, the first `` [/INST]`` of a turn ends its role. A turn is rendered as
+it is, parsed again and compared with its source. Where the two differ, and where a role or text
+holds a control string (or an escaped one) that happens to parse, the turn conflicts: it is escaped
+and compared again. Escaping puts one more ``\`` behind the first
 character of every control string, escaped ones included; the parser takes one away. So the escape
 can be undone whatever the text says, and texts without control strings stay as they are.
 """
@@ -65,7 +66,8 @@ def format_conversations(
     def same(role: str, text: str) -> Column:
         return F.coalesce(parse(render(F.col(role), F.col(text))) == F.array(turn), F.lit(False))
 
-    tried = source.withColumn("_plain", same("role", "text"))
+    free = ~F.col("role").rlike(CONTROL) & ~F.col("text").rlike(CONTROL)
+    tried = source.withColumn("_plain", free & same("role", "text"))
     chosen = tried.withColumn("_role", F.when(F.col("_plain"), F.col("role")).otherwise(escape(F.col("role")))).withColumn(
         "_text", F.when(F.col("_plain"), F.col("text")).otherwise(escape(F.col("text")))
     )
