@@ -82,3 +82,12 @@ def test_query_equals_sql(spark, small):
     cursor = db.execute(queries.OP8_SQL)
     columns = [c[0] for c in cursor.description]
     assert compared(df.columns, [tuple(r) for r in df.collect()]) == compared(columns, cursor.fetchall())
+
+
+def test_targets_are_met_where_ids_repeat_or_are_null(spark):
+    """A third of a source's words stands under null ids, another third under one id."""
+    docs = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "w%d " % i * (1 + i % 9), "ab"[i % 2], 0) for i in range(6000)]
+    got = mixing.mix(spark.createDataFrame(docs, SCHEMA)).collect()
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 10

@@ -1,6 +1,6 @@
 """Mixing sources to target weights by nested hash thresholds.
 
-A document's place in its source is a hash of its id. Sums of sizes by source and hash bucket show
+A document's place in its source is a hash of its id and text. Sums of sizes by source and hash bucket show
 in which bucket the budget of the source runs out; only that bucket is looked into again, with
 narrower buckets, until the hash is used up. What lies below the threshold is taken. Nothing is
 sorted, a larger budget takes a superset, and reruns agree.
@@ -18,10 +18,10 @@ STEP = 12  # bits of the hash that a round looks at
 ROUNDS = 3
 
 
-def place(id_col: str) -> Column:
-    """A number of 36 bits from a document's id; null ids share one."""
-    text = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    return F.conv(F.substring(F.md5(text), 1, STEP * ROUNDS // 4), 16, 10).cast("long")
+def place(id_col: str, text_col: str) -> Column:
+    """A number of 36 bits from a document's id and text, so that rows which share an id lie apart."""
+    key = F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(text_of(text_col)))
+    return F.conv(F.substring(F.md5(key), 1, STEP * ROUNDS // 4), 16, 10).cast("long")
 
 
 def sizes(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
@@ -30,7 +30,7 @@ def sizes(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source"
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         F.regexp_count(text_of(text_col), F.lit(WORDS)).cast("long").alias("size"),
-        place(id_col).alias("place"),
+        place(id_col, text_col).alias("place"),
     )
 
 
@@ -117,7 +117,7 @@ def plan(measured: DataFrame, weights=WEIGHTS, share=SHARE, most=MOST) -> DataFr
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
     """``id``, ``source``, ``size``, ``source_size``, ``target``, ``times`` and ``taken`` of every row.
 
-    Texts are read once. Rows that repeat an id share its place, and are taken together. An empty
+    Texts are read once. Rows that repeat an id and a text share a place, and are taken together. An empty
     table gives no rows, a source without a word takes nothing.
     """
     measured = Shelf(docs).put(sizes(docs, id_col, text_col, source_col), "sizes")
@@ -137,7 +137,7 @@ def apply_mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="sou
     names = fresh(docs.columns, "mix_source", "mix_passes", "mix_below", "mix_copy")
     s, passes, below, copy = names
     chosen = chosen.select(F.col("source").alias(s), F.col("passes").alias(passes), F.col("below").alias(below))
-    extra = F.when(F.col(passes) >= int(MOST), 0).otherwise((place(id_col) < F.col(below)).cast("long"))
+    extra = F.when(F.col(passes) >= int(MOST), 0).otherwise((place(id_col, text_col) < F.col(below)).cast("long"))
     return (
         docs.join(chosen, docs[source_col].eqNullSafe(chosen[s]), "left")
         .withColumn(copy, F.explode(F.array_repeat(F.lit(1), (F.col(passes) + extra).cast("int"))))

@@ -113,16 +113,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-# Rendered texts hold one more escape sign for each control string of a text that needs it: one that
-# holds </s> or an escaped control string, or a role that holds any.
+# Rendered turns hold one more escape sign for each control string, escaped ones included, of a role or text.
 OP2_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), counted AS (
-  SELECT *, regexp_matches(role, '<\\*/s>|\[\\+/?INST\]| \[/INST\]|</s>')
-         OR regexp_matches(text, '<\\*/s>|\[\\+/?INST\]') AS escaped,
+  SELECT *, regexp_matches(role || chr(10) || text, '<\\*/s>|\[\\*/?INST\]') AS escaped,
          len(regexp_extract_all(role || chr(10) || text, '<\\*/s>|\[\\*/?INST\]')) AS signs
   FROM turns
 )
@@ -207,7 +205,7 @@ FROM ruled
 OP8_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 9) AS BIGINT) AS place
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))), 1, 9) AS BIGINT) AS place
   FROM documents
 ), totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
