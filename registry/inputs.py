@@ -1,7 +1,8 @@
 """Raw relations of the flight model, derived from the given tables.
 
 The SQL runs unchanged on both engines but for the weekday function and the way tables are
-named, so the same text feeds the Spark queries and their SQL counterparts.
+named, so the same text feeds the Spark queries and their SQL counterparts. Orders grow with the
+line items, so their join is a shuffle at every size, never a broadcast of what happens to be small.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
 
 RAW_FLIGHTS = """
 WITH base AS (
-  SELECT l.l_orderkey*31 + l.l_linenumber*7 + l.l_partkey AS k,
+  SELECT /*+ SHUFFLE_HASH(o) */ l.l_orderkey*31 + l.l_linenumber*7 + l.l_partkey AS k,
          l.l_shipdate, l.l_suppkey, l.l_orderkey, l.l_linenumber,
          s.s_nationkey, c.c_nationkey
   FROM {lineitem} l

@@ -87,9 +87,15 @@ def cardinality_pages(spark, sf_dir):
     return pf.cardinality(src.table(spark, sf_dir, "pages"), _PAGES)
 
 
-@_add("cardinality_approx")
+_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@_add("cardinality_approx", _union([f"""SELECT '{c}' AS "column", TRUE AS within FROM lineitem HAVING count(*) > 0""" for c in _ALL]))
 def cardinality_approx(spark, sf_dir):
-    return pf.cardinality(src.table(spark, sf_dir, "lineitem"), approx=True)
+    """Whether each estimate is within three deviations (5 % each) of the exact number."""
+    lineitem = src.table(spark, sf_dir, "lineitem").select(*_ALL)
+    both = pf.cardinality(lineitem, approx=True).join(pf.cardinality(lineitem).withColumnRenamed("n_unique", "exact"), "column")
+    return both.select("column", (F.abs(F.col("n_unique") - F.col("exact")) <= 0.15 * F.col("exact")).alias("within"))
 
 
 @_add(
@@ -323,9 +329,24 @@ def describe_numbers(spark, sf_dir):
     return rounded(pf.describe_numbers(src.table(spark, sf_dir, "lineitem"), cols))
 
 
-@_add("describe_approx")
+_EXACT = '"column", count, "unique", top, freq, mean, std, min, max'
+
+
+@_add(
+    "describe_approx",
+    _union(
+        [f"SELECT {_EXACT}, TRUE AS near FROM ({q})" for q in _numbers("part", ["p_partkey", "p_size", "p_retailprice"])]
+        + [f"SELECT {_EXACT}, CAST(NULL AS BOOLEAN) AS near FROM ({q})" for q in _texts("part", ["p_name", "p_brand", "p_type"])]
+    ),
+)
 def describe_approx(spark, sf_dir):
-    return pf.describe(src.table(spark, sf_dir, "lineitem"), approx=True)
+    """Whether each approximate quartile is within a hundredth of the value range of the exact one."""
+    part = src.table(spark, sf_dir, "part")
+    exact = pf.describe(part).select(F.col("column").alias("_c"), *(F.col(p).alias(f"_{p}") for p in ("p25", "p50", "p75")))
+    found = pf.describe(part, approx=True).join(exact, F.col("column") == F.col("_c"))
+    off = F.greatest(*(F.abs(F.col(p) - F.col(f"_{p}")) for p in ("p25", "p50", "p75")))
+    near = (off <= 0.01 * (F.col("max") - F.col("min"))).alias("near")
+    return rounded(found.select("column", "count", "unique", "top", "freq", "mean", "std", "min", "max", near))
 
 
 @_add(
@@ -343,13 +364,18 @@ def describe_text(spark, sf_dir):
 
 @_add(
     "describe_times",
-    """SELECT 'o_orderdate' AS "column", count(o_orderdate) AS count, min(o_orderdate) AS min,
-         make_timestamp(CAST(quantile_cont(epoch(o_orderdate), 0.5) * 1000000 AS BIGINT)) AS p50,
-         max(o_orderdate) AS max FROM orders""",
+    """SELECT 'o_orderdate' AS "column", count(o_orderdate) AS count,
+         make_timestamp(CAST(round(avg(epoch(o_orderdate))) * 1000000 AS BIGINT)) AS mean, min(o_orderdate) AS min, """
+    + ", ".join(
+        f"make_timestamp(CAST(quantile_cont(epoch(o_orderdate), {q}) * 1000000 AS BIGINT)) AS {p}"
+        for p, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))
+    )
+    + ", max(o_orderdate) AS max FROM orders",
 )
 def describe_times(spark, sf_dir):
     stats = pf.describe_times(src.table(spark, sf_dir, "orders"), ["o_orderdate"])
-    return stats.select("column", "count", "min", "p50", "max")
+    # The mean to the second, as sums of fractions differ in their last digits.
+    return stats.withColumn("mean", F.date_trunc("second", F.col("mean") + F.expr("INTERVAL 0.5 SECOND")).cast("timestamp_ntz"))
 
 
 @_add(
@@ -420,20 +446,19 @@ def duplicate_count_rows(spark, sf_dir):
 @_add(
     "duplicate_counts_by_column",
     sql.with_(
-        [("d", "SELECT doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)")],
+        [("d", "SELECT * FROM documents LEFT JOIN labels USING (doc_id)")],
         _union(
             [
                 f"""SELECT '{c}' AS "column", count(*) - count(DISTINCT {c})
                     - CAST(count(*) > count({c}) AS BIGINT) AS n_duplicates FROM d"""
-                for c in ("doc_id", "lang", "quality", "toxic")
+                for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
             ]
         ),
     ),
 )
 def duplicate_counts_by_column(spark, sf_dir):
     documents, labels = (src.table(spark, sf_dir, t) for t in ("documents", "labels"))
-    both = documents.select("doc_id", "lang").join(labels, "doc_id", "left")
-    return pf.duplicate_counts_by_column(both)
+    return pf.duplicate_counts_by_column(documents.join(labels, "doc_id", "left"))
 
 
 @_add(
