@@ -228,6 +228,19 @@ def test_scratch_uses_the_folder_named_by_the_session(spark, orders):
     assert rows(stored, "o_orderkey") == rows(orders, "o_orderkey")
 
 
+def test_stored_tables_leave_no_shuffle_files(spark, orders):
+    import glob
+
+    local = spark.sparkContext.getConf().get("spark.local.dir", "/tmp")
+    seen = lambda: set(glob.glob(f"{local}/blockmgr-*/*/shuffle_*.data"))
+    before = seen()
+    stored = scratch.table(orders.repartition(4, "o_orderkey"), "orders")
+    assert seen() <= before and stored.count() == orders.count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    orders.repartition(4, "o_orderkey").write.format("noop").mode("overwrite").save()
+    assert seen() - before
+
+
 class Recorder:
     """Stands in for a JDBC reader or writer and keeps what it was told."""
 

@@ -7,11 +7,14 @@ outlives any executor.
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tristrata.sources import fs
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_folders: dict[str, str] = {}
 
 
@@ -34,11 +37,29 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Let Spark delete the shuffle files of the writes inside as soon as each is done.
+
+    A written table is read from its files from then on, so nothing needs them any more.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def table(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and return a scan of the written table."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,7 +17,7 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tristrata.operators import gates as gt
-from tristrata.sources import fs
+from tristrata.sources import fs, scratch
 from tristrata.sources.ingest import is_date
 
 _TRIES = 100  # commits that may come in between before a run gives up
@@ -194,7 +194,8 @@ class Run:
         if by_row:
             arranged, watched = gt.watch(arranged, by_row, name)
         out = layout.sort(arranged)
-        out.write.mode("overwrite").partitionBy(*layout.partitions).parquet(f"{self.base}/{path}")
+        with scratch.shuffles_dropped(self.spark):
+            out.write.mode("overwrite").partitionBy(*layout.partitions).parquet(f"{self.base}/{path}")
         stored = Stored(path, sent.get["rows"], out.schema.jsonValue(), dict(layout.partitions), tuple(layout.order))
         found = _scan(self.spark, self.base, stored)
         reconcile(stored.rows, found, name)
