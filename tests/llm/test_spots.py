@@ -41,7 +41,7 @@ def test_signatures_equal_a_plain_version(spark):
     rng = random.Random(6)
     texts = TEXTS + [" ".join(rng.choice(["the", "of", "and", *words(rng, 4)]) for _ in range(rng.randrange(200))) for _ in range(80)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
-    for r in df.select("id", spots.signatures(df.text).alias("s")).collect():
+    for r in spots.with_signatures(df, "text", "s").collect():
         assert set(r.s) == plain(texts[r.id]) and r.s == sorted(set(r.s)), texts[r.id]
 
 

@@ -6,6 +6,8 @@ fingerprint is the set of its signatures: what is in a text between template wor
 """
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -35,21 +37,36 @@ def _tree(words: list[str]) -> str:
     return f"(?:{options}){'?' if '' in words else ''}"
 
 
-def signatures(text: Column, anchors: list[str] = ANCHORS, chain: int = CHAIN) -> Column:
-    """The spot signatures of a text as sorted numbers of 32 bits, each once.
+def with_signatures(df: DataFrame, text: str, name: str, anchors: list[str] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+    """``df`` with the spot signatures of a text column as sorted numbers of 32 bits, each once.
 
     Letter case and all but letters and digits are ignored. A text without a full chain has one
-    signature, of all it says (of its symbols if it has no word); an empty text has none.
+    signature, of all it says (of its symbols if it has no word); an empty text has none. Words and
+    spots are columns of their own on the way, as an expression that needs them twice would find them twice.
     """
     common = _tree(sorted(set(anchors)))
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    marked = F.regexp_replace(words, f"(?<= )(?={common} )", "~")
+    words, spots = fresh([*df.columns, name], "words", "spots")
     link = r"(?:~[^ ]+ )*+[^~ ][^ ]* "
-    spots = F.regexp_extract_all(marked, F.lit(rf"(?<= )(?=(~[^ ]+ {link * chain}))"), F.lit(1))
-    found = F.transform(spots, lambda s: F.crc32(F.regexp_replace(s, r"(?<= )~[^ ]+ ", "")))
-    whole = F.when(words != "  ", words).otherwise(text)
-    alone = F.when(text == "", F.array().cast("array<bigint>")).otherwise(F.array(F.crc32(whole)))
-    return F.sort_array(F.array_distinct(F.when(F.size(spots) > 0, found).otherwise(alone)))
+    marked = F.regexp_replace(F.col(words), f"(?<= )(?={common} )", "~")
+    said = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    found = F.transform(F.col(spots), lambda s: F.crc32(F.regexp_replace(s, r"(?<= )~[^ ]+ ", "")))
+    whole = F.when(F.col(words) != "  ", F.col(words)).otherwise(F.col(text))
+    alone = F.when(F.col(text) == "", F.array().cast("array<bigint>")).otherwise(F.array(F.crc32(whole)))
+    return (
+        df.withColumn(words, said)
+        .withColumn(spots, F.regexp_extract_all(marked, F.lit(rf"(?<= )(?=(~[^ ]+ {link * chain}))"), F.lit(1)))
+        .withColumn(name, F.sort_array(F.array_distinct(F.when(F.size(spots) > 0, found).otherwise(alone))))
+        .drop(words, spots)
+    )
+
+
+def packed(found: Column) -> Column:
+    """Signatures as signed numbers of 32 bits in the same order: half as wide where they are stored or moved."""
+    return F.transform(found, lambda s: (s - 2**31).cast("int"))
+
+
+def unpacked(found: Column) -> Column:
+    return F.transform(found, lambda s: s.cast("long") + 2**31)
 
 
 def fingerprint(found: Column) -> Column:
@@ -67,22 +84,24 @@ def likeness(a: Column, b: Column) -> Column:
 def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``id`` and ``component`` of every id that is linked with another one.
 
-    ``prints`` has (id, found): signatures by ``signatures``. Two sets are linked at a likeness of
+    ``prints`` has (id, found): signatures by ``with_signatures``. Two sets are linked at a likeness of
     at least ``threshold``; empty sets with nothing. Sets are partitioned by length, with bounds so
     far apart that a pair can only be in one partition or two neighbouring ones. In a partition they
-    meet by their rarest signatures, as many as a pair above the threshold must share one of. Stars
+    meet by their rarest signatures, as many as a pair above the threshold must share one of;
+    signatures of one set come first among those and meet nothing, so most sets need not go on. Stars
     around the smallest id of a meeting are compared first; sets which stay apart in spite of
     that are compared where their components differ and their lengths allow it.
     """
     shelf = Shelf(prints)
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = shelf.put(prints.where("id is not null and size(found) > 0").groupBy("id").agg(F.first("found").alias("found")), "sets")
-    one = sets.select("id", F.size("found").alias("n"), F.explode("found").alias("sig"))
-    rarity = one.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
-    rows = one.join(rarity, "sig").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("by"))
-    need = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
+    one = sets.select("id", F.size("found").alias("n"), F.explode("found").alias("sig")).repartition(parts, "sig")
+    rarity = one.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    rows = one.join(rarity.hint("shuffle_hash"), "sig").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("by"))
+    need = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1 - (F.col("n") - F.size("by"))
     part = F.floor(F.log(F.col("n").cast("double")) / -math.log(threshold) + 1e-9)
     meetings = shelf.put(
-        rows.select("id", "n", part.alias("part"), F.explode(F.slice("by", 1, need.cast("int"))).alias("s"))
+        rows.where(need > 0).select("id", "n", part.alias("part"), F.explode(F.slice("by", 1, need.cast("int"))).alias("s"))
         .select("id", "n", F.explode(F.array("part", F.col("part") + 1)).alias("part"), F.col("s.sig").alias("sig")),
         "meetings",
     )
@@ -105,61 +124,104 @@ def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     more = rest.join(other, ["sig", "part"]).where(
         (F.col("component") < F.col("_c")) & (F.least("n", "_n") >= threshold * F.greatest("n", "_n") - 1e-9)
     ).select(F.col("id").alias("a"), F.col("_id").alias("b"))
-    return components(links.unionByName(shelf.put(verified(more), "links")))
+    out = components(links.unionByName(shelf.put(verified(more), "links")))
+    for stored in (sets, meetings, first):
+        shelf.drop(stored)
+    return out
 
 
-def with_classes(rows: DataFrame, threshold: float = 0.8, name: str = "class_id") -> DataFrame:
-    """The rows of ``compare_edits`` and the class of their fingerprint among all near ones.
+def _spot(id_col: Column, key: Column, start: str) -> list[Column]:
+    """Columns by which a document is found, none of them null."""
+    return [
+        id_col.isNull().alias(f"{start}_none"), F.coalesce(id_col.cast("string"), F.lit("")).alias(f"{start}_name"), key.alias(f"{start}_key"),
+    ]
 
-    The class is the least hash of the fingerprints that links connect; texts with the same fingerprint
-    are compared once, and an empty fingerprint has no class.
-    """
-    shelf = Shelf(rows)
-    shown, key, near = F.col("fingerprint"), *fresh(rows.columns + [name], "print_key", "near_id")
-    kept = shelf.put(rows.withColumn(key, F.when(shown != "", F.xxhash64(shown))), "rows")
-    digits = F.regexp_extract_all(shown, F.lit("[0-9A-F]{8}"), F.lit(0))
-    prints = kept.where(f"{key} is not null").groupBy(F.col(key).alias("id")).agg(F.first("fingerprint").alias("fingerprint"))
-    prints = prints.select("id", F.transform(digits, lambda s: F.conv(s, 16, 10).cast("long")).alias("found"))
-    found = near_classes(prints, threshold).select(F.col("id").alias(near), F.col("component").alias(name))
-    out = kept.join(found, kept[key] == found[near], "left").withColumn(name, F.coalesce(name, key))
-    return out.drop(key, near)
-
-
-def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every document's fingerprint beside that of its edited text, and its likeness to both neighbours.
 
-    The edited text has the last floor(n/2) characters replaced by the first as many (or all) of the
-    next document in descending order of id (null last, ties by a hash of the text, the first one
-    after the last). Documents find their neighbour by rank, so no task sees the whole order: each
-    sends what its neighbour needs and no more. Null texts count as empty. Rows that repeat an id
-    and a text are one document and give equal rows. Other columns are not read.
-    """
-    shelf = Shelf(docs)
+def _meet(left: DataFrame, a: str, right: DataFrame, b: str) -> Column:
+    return reduce(and_, (left[f"{a}_{part}"] == right[f"{b}_{part}"] for part in ("none", "name", "key")))
+
+
+def _signed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Each document with its place, a hash of its text, its length and its signatures, packed."""
     named = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
-    ids = shelf.put(named.groupBy("id", "key", F.length("text").alias("n")).count().drop("count"), "ids")
+    signed = with_signatures(named, "text", "found")
+    return signed.select("id", "key", F.length("text").alias("n"), packed(F.col("found")).alias("found"))
+
+
+def _neighbours(signed: DataFrame, shelf: Shelf) -> DataFrame:
+    """From which document to which what goes, and how many characters the latter wants.
+
+    Documents find their neighbour by rank, so no task sees the whole order.
+    """
+    ids = shelf.put(signed.groupBy("id", "key", "n").count().drop("count"), "ids")
     ranks = shelf.put(keys.dense_key(ids, "rank", ["id", "key"]), "ranks")
     n = ranks.count()
     # Rank 1 is the last in descending order; its next one is rank n.
     asks = ranks.select(
         F.when(F.col("rank") == 1, n).otherwise(F.col("rank") - 1).alias("rank"),
-        F.col("id").alias("to_id"), F.col("key").alias("to_key"), F.floor(F.col("n") / 2).cast("int").alias("want"),
+        *_spot(F.col("id"), F.col("key"), "to"), F.floor(F.col("n") / 2).cast("int").alias("want"),
     )
-    sends = shelf.put(ranks.drop("n").join(asks, "rank").drop("rank").withColumnsRenamed({"id": "_id", "key": "_key"}), "sends")
-    given = named.join(sends, named["id"].eqNullSafe(sends["_id"]) & (named["key"] == sends["_key"]))
-    sent = given.select(
-        "to_id", "to_key", F.substring(F.col("text"), F.lit(1), F.col("want")).alias("head"),
-        signatures(F.col("text")).alias("next_found"),
-    ).groupBy("to_id", "to_key").agg(F.first("head").alias("head"), F.first("next_found").alias("next_found"))
-    kept = F.substring(F.col("text"), F.lit(1), F.length("text") - F.floor(F.length("text") / 2).cast("int"))
-    both = named.join(sent, named["id"].eqNullSafe(sent["to_id"]) & (named["key"] == sent["to_key"])).select(
-        F.col("id").alias(id_col), F.length("text").cast("long").alias("n_chars"),
-        F.concat(kept, "head").alias("edited"), signatures(F.col("text")).alias("found"), "next_found",
+    out = shelf.put(
+        ranks.drop("n").join(asks, "rank").select(*_spot(F.col("id"), F.col("key"), "from"), "to_none", "to_name", "to_key", "want"), "sends"
     )
-    done = both.withColumn("edited_found", signatures(F.col("edited")))
-    return done.select(
-        id_col, "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("found")).alias("fingerprint"),
-        fingerprint(F.col("edited_found")).alias("edited_fingerprint"),
-        likeness(F.col("found"), F.col("edited_found")).alias("near_edited"),
-        likeness(F.col("found"), F.col("next_found")).alias("near_next"),
+    shelf.drop(ids)
+    shelf.drop(ranks)
+    return out
+
+
+def _edited(docs: DataFrame, sends: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """For each document the digest and the signatures of its edited text.
+
+    Whole texts travel once, and both joins read that exchange; each document sends its neighbour the
+    characters that one needs and no more. Rows that repeat an id and a text give one.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text = text_of(text_col)
+    texts = docs.select(*_spot(F.col(id_col), F.xxhash64(text), "at"), text.alias("text"))
+    texts = texts.repartition(parts, "at_none", "at_name", "at_key")
+    given = texts.join(sends.hint("shuffle_hash"), _meet(texts, "at", sends, "from"))
+    heads = given.select("to_none", "to_name", "to_key", F.substring(F.col("text"), F.lit(1), F.col("want")).alias("head"))
+    heads = heads.groupBy("to_none", "to_name", "to_key").agg(F.first("head").alias("head"))
+    kept = F.substring(F.col("text"), F.lit(1), F.length("text") - F.floor(F.length("text") / 2).cast("int"))
+    both = texts.join(heads, _meet(texts, "at", heads, "to")).select("at_none", "at_name", "at_key", F.concat(kept, "head").alias("edited"))
+    once = with_signatures(both, "edited", "found").select(
+        "at_none", "at_name", "at_key", F.sha2("edited", 256).alias("edited_sha256"), packed(F.col("found")).alias("edited_found")
     )
+    return once.groupBy("at_none", "at_name", "at_key").agg(F.first("edited_sha256").alias("edited_sha256"), F.first("edited_found").alias("edited_found"))
+
+
+def compare_edits(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None, name: str = "class_id"
+) -> DataFrame:
+    """Every document's fingerprint beside that of its edited text, and its likeness to both neighbours.
+
+    The edited text has the last floor(n/2) characters replaced by the first as many (or all) of the
+    next document in descending order of id (null last, ties by a hash of the text, the first one
+    after the last). With a ``threshold`` a further column ``name`` has the class of the fingerprint
+    among all near ones: the least hash of the fingerprints that links connect; texts with the same
+    fingerprint are compared once, and an empty one has no class. Null texts count as empty. Rows that
+    repeat an id and a text are one document and give equal rows; an empty table gives none; a long text
+    is signed whole. Other columns are not read. Signatures of all documents are written once, as numbers.
+    """
+    shelf = Shelf(docs)
+    signed = shelf.put(_signed(docs, id_col, text_col), "signed")
+    sends = _neighbours(signed, shelf)
+    edits = shelf.put(_edited(docs, sends, id_col, text_col), "edits")
+    print_key = F.when(F.size("found") > 0, F.xxhash64("found"))
+    classes = None
+    if threshold is not None:
+        prints = signed.select(print_key.alias("id"), "found").where("id is not null")
+        classes = shelf.put(near_classes(prints, threshold), "classes").select(F.col("id").alias("_near"), F.col("component").alias("_class"))
+    own = signed.select(*_spot(F.col("id"), F.col("key"), "at"), "id", "n", "found")
+    after = own.join(sends, _meet(own, "at", sends, "from")).groupBy("to_none", "to_name", "to_key").agg(F.first("found").alias("next_found"))
+    edits = edits.withColumnsRenamed({f"at_{part}": f"of_{part}" for part in ("none", "name", "key")})
+    both = own.join(edits, _meet(own, "at", edits, "of")).join(after, _meet(own, "at", after, "to"))
+    columns = [
+        F.col("id").alias(id_col), F.col("n").cast("long").alias("n_chars"), F.col("edited_sha256"),
+        fingerprint(unpacked(F.col("found"))).alias("fingerprint"), fingerprint(unpacked(F.col("edited_found"))).alias("edited_fingerprint"),
+        likeness(F.col("found"), F.col("edited_found")).alias("near_edited"), likeness(F.col("found"), F.col("next_found")).alias("near_next"),
+    ]
+    if classes is None:
+        return both.select(*columns)
+    placed = both.withColumn("_print", print_key)
+    return placed.join(classes, F.col("_print") == F.col("_near"), "left").select(*columns, F.coalesce("_class", "_print").alias(name))
