@@ -73,7 +73,9 @@ def test_no_rows(spark):
 
 def test_query_on_all_documents(spark, small):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op5_suffixes(spark, small).collect()}
+    rows = queries.op5_suffixes(spark, small).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
+    assert all(r.n_kept == r.n_bytes - r.n_removed for r in rows)
     assert got == {d[0]: (*p[:3], hashlib.sha256(p[3]).hexdigest()) for d, p in zip(docs, plain(docs, 400))}
 
 
@@ -94,3 +96,58 @@ def test_repeated_starts_of_odd_pieces():
                 seen.setdefault(text[s : s + length].tobytes(), []).append(s)
         want = sorted(s for same in seen.values() if len(same) > 1 for s in same)
         assert np.flatnonzero(induction.repeated_starts(text, wanted, length)).tolist() == want
+
+
+def test_stretches_that_repeat_themselves_equal_a_plain_version(spark):
+    rng = random.Random(5)
+    noise = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    docs = [
+        (0, noise(50) + "x" * 3000 + noise(60)), (1, noise(9) + "x" * 100 + noise(9)), (2, "x" * 101), (3, noise(70) + "-=" * 900 + noise(5) + "-=" * 700),
+        (4, noise(20) + "=-" * 55), (5, "&nbsp;" * 300), (6, noise(3) + "y" * 500 + "x" * 500 + noise(3)), (7, "é" * 1200), (8, noise(150) + "x" * 99),
+        (9, ("abcdefghijklmnopqrstuvwxyz" * 40) + noise(30)), (10, noise(40) + "x" * 20000 + "y" * 900),
+    ]
+    got = suffixes.drop_repeats(spark.createDataFrame(docs, "doc_id long, text string"), ["doc_id"], length=100).collect()
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in got}
+    assert found == {d[0]: p for d, p in zip(docs, plain(docs, 100))}
+
+
+def test_a_megabyte_of_one_byte_ends(spark):
+    import time
+
+    rng = np.random.default_rng(3)
+    noise = ["".join(map(chr, rng.integers(97, 123, 1_000_000))) for _ in range(3)]
+    passage = noise[0][5000:5900]
+    docs = [(0, noise[0] + " " * 1_000_000 + noise[1]), (1, noise[2][:500_000] + passage + noise[2][500_000:]), (2, "ab" * 500_000)]
+    given = spark.createDataFrame(docs, "doc_id long, text string")
+    started = time.time()
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffixes.drop_repeats(given, ["doc_id"]).collect()}
+    assert got == {0: (1_000_900, 2), 1: (900, 1), 2: (1_000_000, 1)}
+    assert time.time() - started < 60
+
+
+def test_long_texts_go_in_stretches(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = " ".join(words(rng, 30))
+    docs = [(i, " ".join(words(rng, 200 + i)) + passage + " ".join(words(rng, 90))) for i in range(6)]
+    monkeypatch.setattr(suffixes, "STRETCH_BYTES", 130)
+    got = suffixes.drop_repeats(spark.createDataFrame(docs, "doc_id long, text string"), ["doc_id"], length=100).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in got) == sorted(plain(docs, 100))
+
+
+def test_planted_passages_go_and_clean_documents_stay(spark):
+    """Passages of 400 to 4,000 bytes, stated here and not taken from the module."""
+    rng = random.Random(21)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passages = {n: text(n) for n in (400, 401, 650, 1500, 4000)}
+    docs, want = [], {}
+    for n, passage in passages.items():
+        for k in range(3):
+            head, tail = text(300) + str(k), str(k) + text(500)
+            want[len(docs)] = (n, head + tail)
+            docs.append((len(docs), head + passage + tail))
+    for _ in range(20):
+        clean = text(2000)
+        want[len(docs)] = (0, clean)
+        docs.append((len(docs), clean))
+    got = suffixes.drop_repeats(spark.createDataFrame(docs, "doc_id long, text string"), ["doc_id"]).collect()
+    assert {r.doc_id: (r.n_removed, bytes(r.kept_bytes).decode()) for r in got} == want

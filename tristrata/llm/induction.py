@@ -98,20 +98,26 @@ def _names(text: np.ndarray, small: np.ndarray, at: np.ndarray) -> np.ndarray:
     """
     code = (text.astype(np.uint64) << np.uint64(1) | small.astype(np.uint64)) + np.uint64(1)
     end = np.append(at[1:], at[-1]) + 1
-    rank, lo = np.zeros(len(at), np.int32), 0
-    while True:
-        live = np.flatnonzero(at + lo < end)
-        if not len(live):
-            return rank
+    # A group of equal beginnings has the number of smaller ones as its rank, so splitting a group
+    # changes no other. Only groups of several are looked into, and they are read to their end together.
+    rank, live, lo = np.zeros(len(at), np.int64), np.arange(len(at)), 0
+    while len(live):
         key = np.zeros(len(live), np.uint64)
         for k in range(lo, lo + 6):
             place = at[live] + k
             inside = place < end[live]
             key = key << np.uint64(10) | np.where(inside, code[np.minimum(place, len(text) - 1)], np.uint64(0))
-        part = np.zeros(len(at), np.uint64)
-        part[live] = np.unique(key, return_inverse=True)[1].astype(np.uint64) + np.uint64(1)
-        rank = np.unique(rank.astype(np.uint64) << np.uint64(32) | part, return_inverse=True)[1].astype(np.int32)
+        order = np.lexsort((key, rank[live])) if lo else np.argsort(key, kind="stable")
+        live, key, old = live[order], key[order], rank[live[order]]
+        group = np.flatnonzero(np.append(True, old[1:] != old[:-1]))
+        part = np.flatnonzero(np.append(True, (old[1:] != old[:-1]) | (key[1:] != key[:-1])))
+        size = np.diff(np.append(part, len(live)))
+        before = part - group[np.searchsorted(group, part, side="right") - 1]  # members of the group that come first
+        rank[live] = np.repeat(old[part] + before, size)
         lo += 6
+        live = live[np.repeat(size > 1, size)]
+        live = live[at[live] + lo < end[live]]
+    return np.unique(rank, return_inverse=True)[1].astype(np.int32)
 
 
 def _sorted_names(names: np.ndarray, reach: int) -> tuple[np.ndarray, list[np.ndarray]]:

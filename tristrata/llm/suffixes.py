@@ -6,6 +6,7 @@
    one can only repeat if all its halves' anchors do. This leaves nothing out.
 2. What remains is dealt to shards by the anchors of the strings of full length, so equal strings
    meet in one shard, and each string is dealt once.
+   Long stretches that repeat themselves every few bytes are known to repeat; only their ends are dealt.
 3. A shard's pieces are held in memory and suffix-sorted by induced sorting with a queue in files; neighbours in order that share
    the wanted length repeat each other.
 """
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm import induction
@@ -22,7 +24,9 @@ from tristrata.llm.rows import Shelf, fresh, mix, raw_bytes, slices, text_of
 LENGTH = 400  # bytes
 GRAM = 64  # bytes of an anchor at most, a power of two; a quarter of the length for short strings
 SHARD_BYTES = 4 << 20  # pieces a task sorts at a time, unless one anchor alone has more
-PLACE_BITS = 28  # a text has fewer bytes than 2 to this power
+PLACE_BITS = 40  # bits of a hash that give way to the place when the least one is looked for
+STRETCH_BYTES = 8 << 20  # a longer text is gone through in stretches of so many strings
+PERIODS = 16  # bytes after which a stretch may repeat itself to be taken as a whole
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -60,6 +64,28 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     return chosen[first].view(np.int64), first, last, place[first] != place[last]
 
 
+def _in_stretches(data: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """The anchors of a text of any length, a stretch of strings at a time."""
+    for lo in range(0, len(data) - length + 1, STRETCH_BYTES):
+        anchor, first, last, more = anchors(data[lo : lo + STRETCH_BYTES + length - 1], length, gram)
+        yield anchor, first + lo, last + lo, more
+
+
+def periodic(data: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """(begin, end, period) of stretches of four lengths or more that repeat themselves; they do not overlap."""
+    out: list[tuple[int, int, int]] = []
+    least = 4 * length
+    if len(data) < least:
+        return out
+    for period in range(1, PERIODS + 1):
+        edge = np.diff(np.concatenate([[0], (data[period:] == data[:-period]).view(np.int8), [0]]))
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + period
+        for lo, hi in zip(begin[end - begin >= least].tolist(), end[end - begin >= least].tolist()):
+            if all(hi <= a or lo >= b for a, b, _ in out):
+                out.append((lo, hi, period))
+    return sorted(out)
+
+
 def _find_anchors(length: int):
     half = length // 2
 
@@ -71,10 +97,8 @@ def _find_anchors(length: int):
                 found = []
                 for k, a, b in zip(keys.tolist(), starts[:-1].tolist(), starts[1:].tolist()):
                     if b - a >= length:
-                        if b - a >= 1 << PLACE_BITS:
-                            raise ValueError(f"a text of {b - a} bytes is too long for the anchors")
-                        anchor, first, last, more = anchors(data[a:b], half, _gram(length))
-                        found.append((anchor, np.full(len(anchor), k), first, last, more))
+                        for anchor, first, last, more in _in_stretches(data[a:b], half, _gram(length)):
+                            found.append((anchor, np.full(len(anchor), k), first, last, more))
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(x)) for x in zip(*found)], names=["anchor", "key", "first", "last", "more"]
@@ -84,8 +108,16 @@ def _find_anchors(length: int):
 
 
 def _cut(length: int):
+    """Pieces by anchor; a stretch that is known to repeat comes as one with no bytes, from first to before last."""
     half = length // 2
 
+    def made(key: int, anchor, first, last, pieces: list[bytes]) -> pa.RecordBatch:
+        keys = np.full(len(pieces), key)
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(x, pa.int64()) for x in (anchor, keys, first, last)), pa.array(pieces, pa.binary())],
+            names=["anchor", "key", "first", "last", "piece"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -94,17 +126,18 @@ def _cut(length: int):
                 first, last = np.array(spots, np.int64).T
                 head = np.flatnonzero(np.append(True, first[1:] != last[:-1] + 1))
                 stop = last[np.append(head[1:], len(first)) - 1]
+                key = batch.column(0)[i].as_py()
                 for lo, hi in zip(first[head].tolist(), (stop + half).tolist()):
-                    if hi - lo < length:
-                        continue
-                    body = data[lo:hi].tobytes()
-                    anchor, a, b, _ = anchors(data[lo:hi], length, _gram(length))
-                    pieces = [body[x : y + length] for x, y in zip(a.tolist(), b.tolist())]
-                    key = np.full(len(a), batch.column(0)[i].as_py())
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(x, pa.int64()) for x in (anchor, key, a + lo, b + lo)), pa.array(pieces, pa.binary())],
-                        names=["anchor", "key", "first", "last", "piece"],
-                    )
+                    whole = periodic(data[lo:hi], length)
+                    if whole:
+                        yield made(key, np.full(len(whole), key), *np.array([(a + lo, b + lo) for a, b, _ in whole]).T, [b""] * len(whole))
+                    # Each end keeps a string of every phase, so whatever equals one inside meets it.
+                    ends = [lo, *(x + lo for a, b, p in whole for x in (a + length + 2 * p, b - length - 2 * p)), hi]
+                    for begin, end in zip(ends[::2], ends[1::2]):
+                        body = data[begin:end]
+                        for anchor, a, b, _ in _in_stretches(body, length, _gram(length)):
+                            pieces = [body[x : y + length].tobytes() for x, y in zip(a.tolist(), b.tolist())]
+                            yield made(key, anchor, a + begin, b + begin, pieces)
 
     return run
 
@@ -141,7 +174,12 @@ def _sort_shards(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for batch in batches:
+            known = batch.filter(pc.equal(pc.binary_length(batch.column(4)), 0))
+            if known.num_rows:
+                yield pa.RecordBatch.from_arrays(known.columns[1:4], names=["key", "begin", "end"])
             for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if not row[4]:
+                    continue
                 if size >= SHARD_BYTES and row[0] != last:
                     yield _runs(held, length)
                     held, size = [], 0
@@ -216,7 +254,8 @@ def drop_repeats(
     Each byte that is covered by a string of ``length`` bytes which also starts anywhere else, in
     the same text or another row, is removed. Strings are judged on the input and do not run from
     one text into another. Null texts count as empty; every row is a text of its own, also if it
-    repeats an id. A cut may fall inside a character. Other columns are not read.
+    repeats an id. A cut may fall inside a character. A text may have any length, and no text is slow
+    because it repeats itself. Other columns are not read.
     """
     from pyspark.sql import types as T
 
