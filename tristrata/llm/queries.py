@@ -69,7 +69,10 @@ def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("page"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).cast("int").alias("bad")
     )
     judged = urls.judge(table(spark, sf_dir, "pages"), outcomes)
-    return judged.select(F.col("page").alias("page_id"), "host", "path", "rule", "verdict")
+    return judged.select(
+        F.col("page").alias("page_id"), "host", "path", "rule", "verdict", F.col("n").cast("long").alias("n_labelled"),
+        F.col("bad").cast("long").alias("n_bad"), F.round("mean", 6).alias("mean"), F.round("bound", 6).alias("bound"),
+    )
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +85,7 @@ def op9_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spots.with_classes(spots.compare_edits(table(spark, sf_dir, "documents")))
+    return spots.compare_edits(table(spark, sf_dir, "documents"), threshold=0.8)
 
 
 def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,10 +163,12 @@ def _url_sql() -> str:
         )
     verdicts = " ".join(f"WHEN rule = '{rule}' THEN '{verdict}'" for verdict, rule in urls.RULES)
 
+    listed = ", ".join(f"'{x}'" for x in urls.SUFFIXES)
+
     def level(name: str, source: str) -> str:
         return f"""{name}_spread AS (
-  SELECT greatest(0.001, least(0.999, coalesce(CASE WHEN sum(prior * (1 - prior) * (n - 1)) > 0 THEN
-    (sum(n * pow(bad / n - prior, 2)) - sum(prior * (1 - prior))) / sum(prior * (1 - prior) * (n - 1)) END, 0.001))) AS rho
+  SELECT greatest(0.001, least(0.999, coalesce(CASE WHEN sum(centre * (1 - centre) * (n - 1)) > 0 THEN
+    (sum(n * pow(bad / n - centre, 2)) - sum(centre * (1 - centre))) / sum(centre * (1 - centre) * (n - 1)) END, 0.001))) AS rho
   FROM {source} WHERE n > 0
 ), {name}_mean AS (
   SELECT *, n + strength AS weight, (bad + strength * prior) / (n + strength) AS mean
@@ -181,23 +186,31 @@ WITH split AS (
   SELECT doc_id AS page_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 WHEN toxic = 0 AND quality = 1 THEN 0 END) AS bad
   FROM labels GROUP BY doc_id
 ), hosts AS (
-  SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad,
-         array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix
-  FROM parts LEFT JOIN known USING (page_id) GROUP BY host
+  SELECT *, CASE WHEN two IN ({listed}) THEN two ELSE labels[-1] END AS suffix,
+         CASE WHEN two IN ({listed}) THEN array_to_string(list_slice(labels, -3, -1), '.') ELSE two END AS domain
+  FROM (
+    SELECT host, CAST(count(bad) AS DOUBLE) AS n, CAST(coalesce(sum(bad), 0) AS DOUBLE) AS bad, string_split(host, '.') AS labels,
+           array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS two
+    FROM parts LEFT JOIN known USING (page_id) GROUP BY host
+  )
 ), s AS (
-  SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) FROM hosts) AS prior,
-         (SELECT sum(n) + 1.0 FROM hosts) AS "over" FROM hosts GROUP BY suffix
+  SELECT suffix, n, bad, (((SELECT sum(bad) FROM hosts) - bad) + 0.5) / (((SELECT sum(n) FROM hosts) - n) + 1.0) AS prior,
+         ((SELECT sum(n) FROM hosts) - n) + 1.0 AS "over", (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) FROM hosts) AS centre
+  FROM (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix)
 ), {level("s", "s")}, d AS (
-  SELECT domain, sum(h.n) AS n, sum(h.bad) AS bad, any_value(mean) AS prior, any_value(weight) AS "over" FROM hosts h JOIN s_mean USING (suffix) GROUP BY domain
+  SELECT c.*, (p.bad - c.bad + p.strength * p.prior) / (p.n - c.n + p.strength) AS prior, p.n - c.n + p.strength AS "over", p.mean AS centre
+  FROM (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix, domain) c JOIN s_mean p ON c.suffix = p.suffix
 ), {level("d", "d")}, h AS (
-  SELECT host, hosts.n, hosts.bad, mean AS prior, weight AS "over" FROM hosts JOIN d_mean USING (domain)
+  SELECT c.host, c.n, c.bad, (p.bad - c.bad + p.strength * p.prior) / (p.n - c.n + p.strength) AS prior, p.n - c.n + p.strength AS "over", p.mean AS centre
+  FROM hosts c JOIN d_mean p ON c.domain = p.domain
 ), {level("h", "h")}, ruled AS (
-  SELECT page_id, host, path, mean - {urls.DEVIATIONS} * sqrt(mean * (1 - mean) / (weight + 1)) AS bound,
+  SELECT page_id, host, path, n, bad, mean, mean - {urls.DEVIATIONS} * sqrt(mean * (1 - mean) / (weight + 1)) AS bound,
          CASE {" ".join(cases)} END AS rule
   FROM parts JOIN h_mean USING (host)
 )
 SELECT page_id, host, path, rule,
-       CASE {verdicts} WHEN bound > {urls.LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+       CASE {verdicts} WHEN bound > {urls.LIMIT} THEN 'block' ELSE 'allow' END AS verdict,
+       CAST(n AS BIGINT) AS n_labelled, CAST(bad AS BIGINT) AS n_bad, round(mean, 6) AS mean, round(bound, 6) AS bound
 FROM ruled
 """
 

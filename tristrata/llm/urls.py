@@ -2,8 +2,9 @@
 
 Reputation is empirical Bayes over labelled pages. The rate of bad pages of a host has a beta prior
 around that of its registered domain, the domain one around its suffix, the suffix one around the
-whole. How strongly a level holds to its parent is estimated from how far the children's rates
-scatter beyond chance (method of moments for the beta-binomial). A host is blocked if the lower
+whole. What a level takes from its parent leaves its own pages out, so no page speaks twice. How
+strongly a level holds to its parent is estimated from how far the children's rates scatter beyond
+chance (method of moments for the beta-binomial). A host is blocked if the lower
 posterior bound of its rate is above a limit, so little evidence does not block.
 """
 
@@ -19,6 +20,11 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
+# Endings of two labels under which domains are registered; elsewhere it is the last label.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.jp", "ne.jp", "or.jp", "co.nz", "co.za", "co.in",
+    "co.kr", "com.br", "com.cn", "com.mx", "com.tr",
+)
 LIMIT = 0.3  # lower bound of the rate of bad pages beyond which a host is blocked
 DEVIATIONS = 1.645  # below the posterior mean: one chance in twenty
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,46 +51,66 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _posterior(child: DataFrame) -> DataFrame:
-    """Adds ``mean`` and ``weight`` of every row; ``child`` has n, bad and its parent's ``prior`` and ``over``.
+    """Adds ``mean`` and ``weight`` of every row; ``child`` has n, bad, ``centre``, ``prior`` and ``over``.
 
-    ``weight`` is the number of pages that what is known of the rate is worth. What is uncertain
-    about the parent (worth ``over`` pages) adds to the spread among its children.
+    ``centre`` is the parent's rate, around which its children scatter; ``prior`` is what its other pages
+    say, worth ``over`` pages. ``weight`` is the number of pages that what is known of the rate is worth.
+    What is uncertain about the parent adds to the spread among its children.
     """
-    chance = F.col("prior") * (1 - F.col("prior"))
-    scatter = F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("prior"), F.lit(2.0)))
+    chance = F.col("centre") * (1 - F.col("centre"))
+    scatter = F.sum(F.col("n") * F.pow(F.col("bad") / F.col("n") - F.col("centre"), F.lit(2.0)))
     ratio = (scatter - F.sum(chance)) / F.sum(chance * (F.col("n") - 1))
     spread = child.where("n > 0").agg(
         F.greatest(F.lit(0.001), F.least(F.lit(0.999), F.coalesce(F.when(F.sum(chance * (F.col("n") - 1)) > 0, ratio), F.lit(0.001)))).alias("_rho")
     )
     strength = F.greatest(F.lit(0.01), 1 / (F.col("_rho") + 1 / (F.col("over") + 1)) - 1)
     return child.join(F.broadcast(spread)).select(  # one row
-        *child.columns, (F.col("n") + strength).alias("weight"),
+        *child.columns, strength.alias("strength"), (F.col("n") + strength).alias("weight"),
         ((F.col("bad") + strength * F.col("prior")) / (F.col("n") + strength)).alias("mean"),
     )
 
 
-def reputations(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
+def _under(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """``child`` with its parent's ``centre``, and the ``prior`` from the parent's other pages with the pages ``over`` it is worth."""
+    side = parent.select(F.col(key).alias("_key"), F.col("mean").alias("centre"), *(F.col(c).alias(f"_{c}") for c in ("n", "bad", "prior", "strength")))
+    over = F.col("_n") - F.col("n") + F.col("_strength")
+    prior = (F.col("_bad") - F.col("bad") + F.col("_strength") * F.col("_prior")) / over
+    return child.join(side, F.col(key) == F.col("_key")).select(*child.columns, "centre", prior.alias("prior"), over.alias("over"))
+
+
+def registered(host: Column, suffixes=SUFFIXES) -> tuple[Column, Column]:
+    """Suffix and registered domain of a host: the suffix and one more label, or the host if there is none."""
+    two = F.substring_index(host, ".", -2)
+    listed = two.isin(list(suffixes))
+    return F.when(listed, two).otherwise(F.substring_index(host, ".", -1)), F.when(listed, F.substring_index(host, ".", -3)).otherwise(two)
+
+
+def reputations(pages: DataFrame, outcomes: DataFrame, suffixes=SUFFIXES) -> DataFrame:
     """``host`` with ``n``, ``bad``, ``mean`` and ``bound`` for every host of ``pages`` (host, page).
 
     ``outcomes`` has (page, bad): bad is 0, 1 or null for no label; of several labels of a page the
-    worst counts. The registered domain is the last two labels of the host, the suffix the last.
+    worst counts. ``suffixes`` are endings of two labels that count as one; elsewhere the suffix is the
+    last label. Tables without a page give no rows.
     """
     shelf = Shelf(pages)
     known = outcomes.groupBy("page").agg(F.max("bad").alias("bad")).where("bad is not null and page is not null")
     hosts = shelf.put(
         pages.join(known, "page", "left").groupBy("host").agg(
             F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
-        ).withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1)),
+        ).withColumns(dict(zip(("suffix", "domain"), registered(F.col("host"), suffixes)))),
         "hosts",
     )
     sums = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     n, bad = (F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "bad"))
-    whole = hosts.agg(((bad + 0.5) / (n + 1.0)).alias("prior"), (n + 1.0).alias("over"))
-    suffixes = shelf.put(_posterior(hosts.groupBy("suffix").agg(*sums).join(F.broadcast(whole))), "suffixes")
-    over = suffixes.select("suffix", F.col("mean").alias("prior"), F.col("weight").alias("over"))
-    domains = shelf.put(_posterior(hosts.groupBy("suffix", "domain").agg(*sums).join(over, "suffix")), "domains")
-    over = domains.select("domain", F.col("mean").alias("prior"), F.col("weight").alias("over"))
-    scored = _posterior(hosts.join(over, "domain"))
+    whole = hosts.agg(n.alias("_n"), bad.alias("_bad"))
+    over = F.col("_n") - F.col("n") + 1.0
+    top = hosts.groupBy("suffix").agg(*sums).join(F.broadcast(whole)).select(  # one row
+        "suffix", "n", "bad", ((F.col("_bad") + 0.5) / (F.col("_n") + 1.0)).alias("centre"),
+        ((F.col("_bad") - F.col("bad") + 0.5) / over).alias("prior"), over.alias("over"),
+    )
+    by_suffix = shelf.put(_posterior(top), "suffixes")
+    by_domain = shelf.put(_posterior(_under(hosts.groupBy("suffix", "domain").agg(*sums), by_suffix, "suffix")), "domains")
+    scored = _posterior(_under(hosts, by_domain, "domain"))
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("weight") + 1))
     return scored.select("host", "n", "bad", "mean", (F.col("mean") - DEVIATIONS * deviation).alias("bound"))
 
@@ -93,10 +119,11 @@ def judge(
     pages: DataFrame, outcomes: DataFrame, rules=RULES, limit: float = LIMIT,
     page_col: str = "page_id", url_col: str = "url",
 ) -> DataFrame:
-    """``page``, ``host``, ``path``, ``rule``, ``verdict`` and the host's ``mean`` and ``bound`` of every row.
+    """``page``, ``host``, ``path``, ``rule``, ``verdict`` and the host's ``n``, ``bad``, ``mean`` and ``bound`` of every row.
 
     The verdict is the rule's if one fits, else that of the host's reputation. Null urls have an
-    empty host, which has a reputation like any other. Rows that repeat a page count each.
+    empty host, which has a reputation like any other. Rows that repeat a page count each; long urls are
+    read whole; an empty table gives no rows; other columns, whatever their names, are not read.
     """
     host, path = parts(url_col)
     split = pages.select(F.col(page_col).alias("page"), host.alias("host"), path.alias("path"))
@@ -105,8 +132,8 @@ def judge(
     listed = F.lit(None).cast("string")
     for verdict, text in rules:
         listed = F.when(F.col("rule") == text, verdict).otherwise(listed)
-    return split.join(known.select("host", "mean", "bound"), "host").withColumn("rule", rule).select(
+    return split.join(known.select("host", "n", "bad", "mean", "bound"), "host").withColumn("rule", rule).select(
         "page", "host", "path", "rule",
         F.coalesce(listed, F.when(F.col("bound") > limit, "block").otherwise("allow")).alias("verdict"),
-        "mean", "bound",
+        "n", "bad", "mean", "bound",
     )
