@@ -24,18 +24,59 @@ def test_run_equals_plain_versions_of_the_stages(spark, small):
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in got)
 
 
+ROWS = [
+    (1, "The cat sat on the mat and it was good", "en", "a", 0), (1, "The cat sat on the mat and it was good", "en", "a", 0),
+    (2, None, None, None, None), (None, "Der Hund ist im Haus und schläft den ganzen Tag", "de", None, 1), (3, "", "en", "a", 0),
+    (4, "\n \n", "en", "b", 3), (5, "the end " * 40000, "en", "b", 320000),
+]
+LETTERED = sorted(str(r[0]) for r in ROWS if any(c.isalpha() for c in r[1] or ""))
+
+
+def ids(rows):
+    return sorted(str(r.doc_id) for r in rows)
+
+
+def check_language(rows):
+    assert ids(rows) == LETTERED  # nothing without a letter stays, nothing else goes
+
+
+def check_lines(rows):
+    assert ids(rows) == LETTERED
+    assert {r.text for r in rows} == {r[1] for r in ROWS if str(r[0]) in LETTERED}  # single lines, each kept
+    assert all(r.n_chars == len(r.text) for r in rows)
+
+
+def check_near(rows):
+    texts = [r.text or "" for r in rows]
+    assert set(texts) == {r[1] or "" for r in ROWS}
+    kept = [t for t in texts if t]
+    assert len(kept) == len(set(kept))
+
+
+def check_mix(rows):
+    held = {}
+    for r in ROWS:
+        held[r[:2]] = held.get(r[:2], 0) + 1
+    for key in {(r.doc_id, r.text) for r in rows}:
+        assert sum((r.doc_id, r.text) == key for r in rows) <= 2 * held[key]
+
+
+def check_encode(rows):
+    want = {(str(r[0]), tuple(e[0])) for r, e in zip(ROWS, test_bpe.expected([r[1] for r in ROWS]))}
+    assert len(rows) == len(ROWS) and {(str(r.doc_id), tuple(r.ids)) for r in rows} == want
+    assert all(r.round_trip and r.n_tokens == len(r.ids) for r in rows)
+
+
+CHECKS = dict(zip((n for n, _ in corpus_pipeline.STAGES), (check_language, check_lines, check_near, check_mix, check_encode)))
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_odd_rows(spark, small, name, stage):
-    rows = [
-        (1, "The cat sat on the mat and it was good", "en", "a", 0), (1, "The cat sat on the mat and it was good", "en", "a", 0),
-        (2, None, None, None, None), (None, "Der Hund ist im Haus und schläft den ganzen Tag", "de", None, 1), (3, "", "en", "a", 0),
-        (4, "\n \n", "en", "b", 3), (5, "the end " * 40000, "en", "b", 320000),
-    ]
-    docs = spark.createDataFrame([(*r, "x", 7) for r in rows], SCHEMA + ", lang_pred string, size int")
+    docs = spark.createDataFrame([(*r, "x", 7) for r in ROWS], SCHEMA + ", lang_pred string, size int")
     got = stage(spark, docs, small)
-    assert got.count() >= 0
     if name != "encode":
         assert got.columns == docs.columns
+    CHECKS[name](got.collect())
     assert stage(spark, docs.limit(0), small).collect() == []
 
 

@@ -88,7 +88,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     a class is what links and equal texts connect. Its id is its smallest document id, and the rows
     of that document (id and text) are kept. Null texts count as empty; texts without a word are
     linked with equal texts only. Null ids belong to a class but name it only if all are null. Rows
-    that repeat an id and a text are one document. Other columns are not read.
+    that repeat an id and a text are one document. A long text is signed whole; an empty table gives no
+    rows. Other columns are not read.
     """
     keyed = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("text")).withColumn(
         "id", F.xxhash64("text")
