@@ -22,6 +22,7 @@ ANCHORS = (
     "au aux avec ce dans de du en est et il la le les par pas pour que qui sur un une "
     "con del el es las lo los no para por se su y"
 ).split()
+ROUNDS = 4  # further leaders of a meeting before its remaining components are compared in pairs
 CHAIN = 2  # content words of a signature
 
 
@@ -89,8 +90,8 @@ def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     far apart that a pair can only be in one partition or two neighbouring ones. In a partition they
     meet by their rarest signatures, as many as a pair above the threshold must share one of;
     signatures of one set come first among those and meet nothing, so most sets need not go on. Stars
-    around the smallest id of a meeting are compared first; sets which stay apart in spite of
-    that are compared where their components differ and their lengths allow it.
+    around the smallest id of a meeting are compared first, then stars around other members; sets which
+    stay apart in spite of that are compared where their components differ and their lengths allow it.
     """
     shelf = Shelf(prints)
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -117,7 +118,27 @@ def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     links = shelf.put(verified(rays), "links")
     first = shelf.put(components(links), "components")
-    placed = meetings.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def place(known: DataFrame) -> DataFrame:
+        return meetings.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    # Another leader each time, for the members that are not in its component: near copies of one text
+    # come together this way, whichever of them the first leader was.
+    for r in range(ROUNDS):
+        placed = place(first)
+        other = F.struct(F.xxhash64("id", F.lit(r)).alias("h"), F.col("id").alias("lead"), F.col("component").alias("home"))
+        leads = placed.groupBy("sig", "part").agg(F.min(other).alias("l"), F.min("component").alias("_c"), F.max("component").alias("_d"))
+        leads = leads.where("_c != _d").select("sig", "part", "l.lead", "l.home")
+        rays = placed.join(leads, ["sig", "part"]).where("component != home").select(
+            F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")
+        )
+        more = shelf.put(verified(rays), "links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        shelf.drop(first)
+        first = shelf.put(components(links), "components")
+    placed = place(first)
     apart = placed.groupBy("sig", "part").agg(F.min("component").alias("_c"), F.max("component").alias("_d")).where("_c != _d")
     rest = placed.join(apart.select("sig", "part"), ["sig", "part"])
     other = rest.select("sig", "part", F.col("id").alias("_id"), F.col("n").alias("_n"), F.col("component").alias("_c"))
