@@ -2,9 +2,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tests.llm.helpers import closure, words
-from tristrata.llm import neardocs, queries
+from tristrata.llm import linking, neardocs, queries
 from tristrata.llm.rows import mix
 
 
@@ -83,6 +84,24 @@ def test_far_variants_are_joined_through_others(spark):
     assert near(neardocs.near_classes(given)) == plain(docs)
 
 
+@pytest.mark.parametrize("tile", [1, 3, 40])
+def test_tiles_of_any_size_lose_no_link(spark, monkeypatch, tile):
+    """Buckets of several components over many blocks, the largest of which is not compared with itself."""
+    monkeypatch.setattr(linking, "TILE", tile)
+    rng = random.Random(tile)
+    docs = []
+    for _ in range(3):
+        base = words(rng, 140, 10**6)
+        for i in range(30):
+            copy = base.copy()
+            for place in rng.sample(range(140), rng.choice([0, 2, 2, 3])):
+                copy[place] = f"v{i}x{place}"
+            docs.append((len(docs), " ".join(copy)))
+    rng.shuffle(docs)
+    given = spark.createDataFrame(docs, "doc_id long, text string")
+    assert near(neardocs.near_classes(given)) == plain(docs)
+
+
 def test_signatures_estimate_the_weighted_overlap():
     rng = np.random.default_rng(1)
     n = 3000

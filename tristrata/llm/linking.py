@@ -1,9 +1,10 @@
 """From band hashes to verified components, without all pairs of a group.
 
 Ids that share a bucket form a star around the smallest id of the bucket, and each ray is verified
-on the texts. What a star leaves apart can still be linked: buckets whose members are in more than
-one component are compared in square tiles of bounded size, where only links that join two
-components are returned. So no link between candidates is lost, and no group meets in one task.
+on the texts. What a star leaves apart can still be linked: in buckets whose members are in more than
+one component, those outside the largest one are compared with each other and with its members in
+square tiles of bounded size, where only links that join two components are returned. So no link
+between candidates is lost, and no group meets in one task.
 """
 
 from collections.abc import Callable, Iterator
@@ -178,27 +179,28 @@ def classes(
     first = shelf.put(components(links), "components")
 
     known = first.select("id", "component")
-    placed = (
-        stars.join(known, "id", "left")
-        .join(known.select(F.col("id").alias("leader"), F.col("component").alias("_c")), "leader", "left")
-        .select(
-            "bucket", "id", F.coalesce("component", "id").alias("component"),
-            F.coalesce("_c", "leader").alias("_home"),
-        )
-    )
-    open_buckets = placed.groupBy("bucket").agg(
-        F.max((F.col("component") != F.col("_home")).cast("int")).alias("_apart"),
-        F.count(F.lit(1)).alias("_n"),
-        F.min("id").alias("_least"),
-        F.bit_xor(F.xxhash64("id")).alias("_members"),
-    ).where("_apart = 1 and _n > 2")
+    placed = stars.join(known, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    spread = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("_m"), F.min("id").alias("_l"), F.bit_xor(F.xxhash64("id")).alias("_x"))
+    open_buckets = spread.groupBy("bucket").agg(
+        F.max(F.struct("_m", "component")).alias("_home"), F.sum("_m").alias("_n"), F.count(F.lit(1)).alias("_apart"),
+        F.min("_l").alias("_least"), F.bit_xor("_x").alias("_members"),
+    ).where("_apart > 1 and _n > 2")
     # Buckets of the same members, as near copies share in many bands, are compared once.
-    open_buckets = open_buckets.groupBy("_n", "_least", "_members").agg(F.min("bucket").alias("bucket")).select("bucket", "_n")
+    open_buckets = open_buckets.groupBy("_n", "_least", "_members").agg(F.min(F.struct("bucket", "_home")).alias("_b")).select(
+        F.col("_b.bucket").alias("bucket"), F.col("_b._home.component").alias("_home"),
+        F.ceil((F.col("_n") - F.col("_b._home._m")) / F.lit(TILE)).cast("int").alias("_away"),
+        F.ceil(F.col("_b._home._m") / F.lit(TILE)).cast("int").alias("_at"),
+    )
+    # The largest component of a bucket is not compared with itself: its members meet the blocks of
+    # those away from it, which are numbered first, and those meet all blocks.
+    at_home = F.col("component") == F.col("_home")
+    blocks = F.when(at_home, F.col("_at")).otherwise(F.col("_away"))
+    block = F.pmod(F.xxhash64("id"), blocks).cast("int") + F.when(at_home, F.col("_away")).otherwise(0)
+    others = F.when(at_home, F.col("_away")).otherwise(F.col("_away") + F.col("_at"))
     apart = (
         placed.join(open_buckets, "bucket")
-        .withColumn("_blocks", F.ceil(F.col("_n") / F.lit(TILE)).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .withColumn("block", block)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), others - 1)))
         .select(
             "bucket", "id", "component", "block",
             F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j"),
