@@ -1,4 +1,5 @@
 from collections import Counter
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,18 @@ def test_predictions_equal_a_plain_version(spark, small):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_the_query_equals_a_plain_version(spark, small):
+    """Its own rows: what is held out, and what is predicted from the others alone."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").collect()
+    held = {d.doc_id: zlib.crc32(str(d.doc_id).encode()) % 3 == 1 for d in docs}
+    want = plain([d.text for d in docs], [(d.text, d.lang) for d in docs if not held[d.doc_id]])
+    got = {r.doc_id: r for r in queries.op1_language(spark, small).collect()}
+    assert got.keys() == held.keys()
+    for d, (lang, score) in zip(docs, want):
+        r = got[d.doc_id]
+        assert (r.held_out, r.lang_pred) == (held[d.doc_id], lang) and abs(r.score - score) < 1e-9
+
+
 def test_nothing_learned_and_no_rows(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     some = spark.createDataFrame([(1, "abc", None), (None, None, None)], none.schema)
@@ -85,6 +98,14 @@ def test_nothing_learned_and_no_rows(spark):
     assert language.identify(none, language.profiles(none), ["doc_id"]).collect() == []
 
 
+def test_clashing_names(spark):
+    given = spark.createDataFrame([(1, "the cat", "x")], "doc_id long, text string, _whole_text string")
+    learned = language.profiles(given.selectExpr("text", "'en' AS lang"))
+    assert [tuple(r)[:2] for r in language.identify(given, learned, ["doc_id", "_whole_text"]).collect()] == [(1, "x")]
+    with pytest.raises(ValueError):
+        language.identify(given.withColumnRenamed("_whole_text", "Score"), learned, ["Score"])
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     got = queries.op1_language(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id")

@@ -15,7 +15,6 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tristrata.llm.rows import fresh, slices
 
 LAST = 1 << 60  # rank of the parent that a whole token does not have
-CACHE_WORDS = 100_000  # words of a generation that a worker remembers; it holds two
+CACHE_WORDS = 60_000  # words of a generation that a worker remembers; it holds two
 CACHED_LETTERS = 64  # a longer word is merged each time it comes
 LATIN = 0x250  # texts below this code point are split by explicit character classes
 SLICE_IDS = 1 << 18  # ids a worker decodes at a time; a longer list comes alone
@@ -241,16 +240,17 @@ class Bpe:
                 heapq.heappush(queue, (m[0], before[i], token[before[i]], token[i]))
         return [t for t in token if t >= 0]
 
-    def encode_words(self, words: list[str]) -> list[tuple[int, ...]]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, four bytes each."""
         raw = [w.encode() for w in words]
         flat, sizes = self.propose(raw)
         owner = np.repeat(np.arange(len(words)), sizes)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         bad = owner[inner[~self.compatible(flat[inner], flat[inner + 1])]]
-        ids, ends = flat.tolist(), np.cumsum(sizes).tolist()
-        out = [tuple(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+        ids, ends = flat.astype(np.int32).tobytes(), (4 * np.cumsum(sizes)).tolist()
+        out = [ids[a:b] for a, b in zip([0, *ends[:-1]], ends)]
         for i in np.unique(bad).tolist():
-            out[i] = tuple(self.merge(raw[i]))
+            out[i] = np.array(self.merge(raw[i]), np.int32).tobytes()
         return out
 
     def pieces(self, text: str) -> list[str]:
@@ -269,12 +269,12 @@ class Memory:
 
     def __init__(self, bpe: Bpe, limit: int | None = None):
         self.bpe, self.limit = bpe, limit or CACHE_WORDS
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
-        self.added = {t: (i,) for t, i in bpe.added.items()}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.added = {t: np.int32(i).tobytes() for t, i in bpe.added.items()}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """The ids of each text."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each."""
         split = [self.bpe.pieces(t) for t in texts]
         missing = set().union(*split) - self.young.keys()
         kept = missing & self.old.keys()
@@ -283,7 +283,7 @@ class Memory:
         self.young.update(zip(new, self.bpe.encode_words(new)))
         self.young.update(self.added)
         known = self.young
-        ids = [list(chain.from_iterable(map(known.__getitem__, words))) for words in split]
+        ids = [b"".join(map(known.__getitem__, words)) for words in split]
         for w in new:
             if len(w) > CACHED_LETTERS:
                 del known[w]
@@ -311,9 +311,8 @@ def _id_lists(memory: Memory, column: pa.Array) -> pa.ListArray:
     """The ids of a column of texts."""
     ids = memory.encode([t or "" for t in column.to_pylist()])
     at = np.zeros(len(ids) + 1, np.int32)
-    np.cumsum([len(x) for x in ids], out=at[1:])
-    flat = np.fromiter(chain.from_iterable(ids), np.int32, int(at[-1]))
-    return pa.ListArray.from_arrays(pa.array(at), pa.array(flat))
+    np.cumsum([len(x) // 4 for x in ids], out=at[1:])
+    return pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
 
 def _texts(tokens: pa.Array, lists: pa.Array) -> pa.Array:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tristrata.llm.rows import Shelf, code_points, fresh, slices, text_of
 
+HELD_BYTES = 1 << 18  # text whose n-grams a task holds at a time; a longer text comes alone
 PLACES = 400  # n-grams of a profile, and of a text that are compared with it
 MAX_LANGUAGES = 1000  # bounds the profiles that every task receives
 UNKNOWN = "und"
@@ -110,7 +111,7 @@ class Grams:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, 1):
+        for part in slices(batch, 1, HELD_BYTES):
             grams = Grams(part.column(1))
             names, lang = np.unique(np.array(part.column(0).to_pylist(), object), return_inverse=True)
             keys = lang[grams.owner] * grams.span + grams.gram
@@ -141,9 +142,9 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return (
         counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-        .withColumn("place", F.row_number().over(order) - 1)
-        .where(F.col("place") < PLACES)
-        .select("lang", "gram", "place")
+        .withColumn("place", F.row_number().over(order))
+        .where(F.col("place") <= PLACES)  # in this form the engine cuts each task's n-grams before they are moved
+        .select("lang", "gram", (F.col("place") - 1).alias("place"))
     )
 
 
@@ -184,8 +185,12 @@ def identify(
 
     The score is one minus the distance to the nearest profile over the largest possible one. Ties
     go to the first language in order of the names. Texts that are null or hold no letter are
-    ``und`` with score 0, and so is everything if ``learned`` (from ``profiles``) is empty.
+    ``und`` with score 0, and so is everything if ``learned`` (from ``profiles``) is empty. Rows do not
+    depend on one another, so repeated rows agree and an empty table gives none; a long text is judged
+    whole, alone. Columns of ``keep`` may not have the made names.
     """
+    if clash := {c.lower() for c in keep} & {n.lower() for n in names}:
+        raise ValueError(f"columns to keep have names of the result: {sorted(clash)}")
     rows = learned.limit(PLACES * MAX_LANGUAGES + 1).collect()
     if len(rows) > PLACES * MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -198,7 +203,7 @@ def identify(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, batch.num_columns - 1):
+            for part in slices(batch, batch.num_columns - 1, HELD_BYTES):
                 best = np.full(part.num_rows, len(languages))
                 score = np.zeros(part.num_rows)
                 if languages:
@@ -215,7 +220,8 @@ def identify(
         [docs.schema[c] for c in keep]
         + [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     )
-    return docs.select(*keep, F.col(text_col).alias("_whole_text")).mapInArrow(run, schema)
+    hidden = fresh([*keep, *names], "_whole_text")[0]
+    return docs.select(*keep, F.col(text_col).alias(hidden)).mapInArrow(run, schema)
 
 
 def recognised(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
