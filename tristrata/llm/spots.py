@@ -101,11 +101,19 @@ def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     rows = one.join(rarity.hint("shuffle_hash"), "sig").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("by"))
     need = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1 - (F.col("n") - F.size("by"))
     part = F.floor(F.log(F.col("n").cast("double")) / -math.log(threshold) + 1e-9)
+    prefixes = shelf.put(
+        rows.where(need > 0).select(
+            "id", "n", part.alias("own"), F.transform(F.slice("by", 1, need.cast("int")), lambda s: s["sig"]).alias("by")
+        ),
+        "prefixes",
+    )
     meetings = shelf.put(
-        rows.where(need > 0).select("id", "n", part.alias("part"), F.explode(F.slice("by", 1, need.cast("int"))).alias("s"))
-        .select("id", "n", F.explode(F.array("part", F.col("part") + 1)).alias("part"), F.col("s.sig").alias("sig")),
+        prefixes.select("id", "n", "own", F.explode("by").alias("sig")).select(
+            "id", "n", F.explode(F.array("own", F.col("own") + 1)).alias("part"), "sig"
+        ),
         "meetings",
     )
+    prefixes = prefixes.drop("n")
     stars = meetings.groupBy("sig", "part").agg(F.min("id").alias("leader"), F.max("id").alias("_last")).where("leader != _last")
     rays = meetings.join(stars, ["sig", "part"]).where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
 
@@ -140,10 +148,15 @@ def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
         first = shelf.put(components(links), "components")
     placed = place(first)
     apart = placed.groupBy("sig", "part").agg(F.min("component").alias("_c"), F.max("component").alias("_d")).where("_c != _d")
-    rest = placed.join(apart.select("sig", "part"), ["sig", "part"])
-    other = rest.select("sig", "part", F.col("id").alias("_id"), F.col("n").alias("_n"), F.col("component").alias("_c"))
+    rest = placed.join(apart.select("sig", "part"), ["sig", "part"]).join(prefixes, "id")
+    other = rest.select(
+        "sig", "part", F.col("id").alias("_id"), F.col("n").alias("_n"), F.col("component").alias("_c"), F.col("own").alias("_own"),
+        F.col("by").alias("_by"),
+    )
+    # A pair is made where it meets first: at the first signature both have, in the upper of their partitions.
+    first_meeting = (F.get(F.array_intersect("by", "_by"), F.lit(0)) == F.col("sig")) & (F.col("part") == F.greatest("own", "_own"))
     more = rest.join(other, ["sig", "part"]).where(
-        (F.col("component") < F.col("_c")) & (F.least("n", "_n") >= threshold * F.greatest("n", "_n") - 1e-9)
+        (F.col("component") < F.col("_c")) & (F.least("n", "_n") >= threshold * F.greatest("n", "_n") - 1e-9) & first_meeting
     ).select(F.col("id").alias("a"), F.col("_id").alias("b"))
     out = components(links.unionByName(shelf.put(verified(more), "links")))
     for stored in (sets, meetings, first):
