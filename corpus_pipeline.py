@@ -25,7 +25,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     counts = tuple(fresh(docs.columns, "n_lines", "n_removed"))
     left = lines.drop_lines(docs, counts=counts).where(F.col(counts[0]) > F.col(counts[1]))
-    return left.where(F.trim("text") != "").withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return left.where(F.col("text").rlike("[^ \n]")).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def drop_near_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
