@@ -13,7 +13,7 @@ def test_run_equals_plain_versions_of_the_stages(spark, small):
     docs = [d for d, (lang, score) in zip(docs, named) if lang != "und" and score > 0]
     left = test_lines.plain([d[:2] for d in docs])
     docs = [(d[0], left[d[0]][0], d[2], d[3], len(left[d[0]][0])) for d in docs]
-    docs = [d for d in docs if d[1].strip(" ")]
+    docs = [d for d in docs if d[1].strip(" \n")]
     kept = {k for k, _, stays in test_neardocs.plain([d[:2] for d in docs]) if stays}
     docs = [d for d in docs if str(d[0]) in kept]
     times = {r.id: r.times for r in mixing.mix(spark.createDataFrame(docs, SCHEMA)).collect()}
