@@ -3,8 +3,10 @@
 The first scan groups rows by which slices they belong to and which columns they miss, and keeps a
 count and the moments of the numbers for each group: ``cells``, a few hundred rows at most. The second
 makes one (slices, column, value) for each column of each row and counts them: ``bag``, one row for each
-different value. Both are written. Every statistic is then read off one of them and comes as rows of
-one shape: ``section``, ``key``, ``statistic``, ``value``.
+different value. It is made type by type, each reading its own columns: values are counted as what they
+are and only different ones become text, and a statistic opens only the types it asks for. All is
+written. Every statistic is then read off these tables and comes as rows of one shape: ``section``,
+``key``, ``statistic``, ``value``.
 """
 
 from collections.abc import Sequence
@@ -33,7 +35,7 @@ class Tally:
     pairs: tuple[tuple[str, str], ...]
     composites: dict[str, tuple[str, ...]]
     cells: DataFrame
-    bag: DataFrame
+    bag: dict[tuple[str, ...], DataFrame]  # by the names it has values of
 
     def _in(self, slice_name: str) -> Column:
         return F.col("slices").bitwiseAND(1 << self.slices.index(slice_name)) != 0
@@ -46,7 +48,8 @@ class Tally:
 
     def _values(self, slice_name: str, columns: Sequence[str]) -> DataFrame:
         """``column``, ``value``, ``n`` of a slice."""
-        held = self.bag.where(self._in(slice_name) & F.col("column").isin(list(columns)))
+        parts = [part for names, part in self.bag.items() if set(names) & set(columns)]
+        held = reduce(DataFrame.unionByName, parts).where(self._in(slice_name) & F.col("column").isin(list(columns)))
         return held.groupBy("column", "value").agg(F.sum("n").alias("n"))
 
     # -- counts of rows and of missing values ------------------------------------------------------
@@ -269,30 +272,57 @@ def tally(
     cols = list(columns or df.columns)
     composites = {name: tuple(c) for name, c in (composites or {}).items()}
     bits = reduce(add, (F.coalesce(c, F.lit(False)).cast("int") * (1 << i) for i, c in enumerate(conditions.values())))
-    pattern = F.concat(*(F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols))
-    aggregates = [F.count(F.lit(1)).alias("n")]
+    missing = F.array(*(F.col(c).isNull() for c in cols))
+    # Within a cell a column is known in all rows or in none, so the cell's count is that of its known values.
+    n = F.count(F.lit(1))
+    aggregates = [n.alias("n")]
     for i, c in enumerate(numbers):
         value = F.col(c).cast("double")
         aggregates += [
-            F.avg(value).alias(f"mean_{i}"), (F.var_pop(value) * F.count(value)).alias(f"spread_{i}"),
-            F.min(value).alias(f"low_{i}"), F.max(value).alias(f"high_{i}"),
+            F.avg(value).alias(f"mean_{i}"), (F.var_pop(value) * n).alias(f"spread_{i}"), F.min(value).alias(f"low_{i}"), F.max(value).alias(f"high_{i}"),
         ]
     for i, (x, y) in enumerate(pairs):
         x, y = (F.col(c).cast("double") for c in (x, y))
         aggregates += [
-            F.avg(x).alias(f"mean_x_{i}"), F.avg(y).alias(f"mean_y_{i}"), (F.covar_pop(x, y) * F.count(F.lit(1))).alias(f"cov_{i}"),
-            (F.var_pop(x) * F.count(x)).alias(f"xx_{i}"), (F.var_pop(y) * F.count(y)).alias(f"yy_{i}"),
+            F.avg(x).alias(f"mean_x_{i}"), F.avg(y).alias(f"mean_y_{i}"), (F.covar_pop(x, y) * n).alias(f"cov_{i}"),
+            (F.var_pop(x) * n).alias(f"xx_{i}"), (F.var_pop(y) * n).alias(f"yy_{i}"),
         ]
-    cells = df.groupBy(bits.alias("slices"), pattern.alias("pattern")).agg(*aggregates)
-    tagged = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]
-    tagged += [F.struct(F.lit(name).alias("column"), gates.key_text(df, on).alias("value")) for name, on in composites.items()]
+    grouped = df.groupBy(bits.alias("slices"), missing.alias("missing")).agg(*aggregates)
+    pattern = F.array_join(F.transform("missing", lambda m: m.cast("int").cast("string")), "")
+    cells = grouped.withColumn("missing", pattern).withColumnRenamed("missing", "pattern")
+    tagged: dict[str, dict[str, Column]] = {}
+    for c in cols:
+        kind, value = _counted_as(df, c)
+        tagged.setdefault(kind, {})[c] = value
+    if composites:
+        tagged["keys"] = {name: gates.key_text(df, on) for name, on in composites.items()}
     if whole_rows:
-        tagged.append(F.struct(F.lit(ROW_HASH).alias("column"), gates.row_hash(df, cols).cast("string").alias("value")))
-    bag = (
-        df.select(bits.alias("slices"), F.inline(F.array(*tagged))).where("value IS NOT NULL")
-        .groupBy("slices", "column", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
+        tagged["hash"] = {ROW_HASH: gates.row_hash(df, cols)}
     return Tally(
-        df, tuple(conditions), tuple(cols), tuple(numbers), tuple(pairs), composites,
-        scratch.table(cells, "cells"), scratch.table(bag, "bag"),
+        df, tuple(conditions), tuple(cols), tuple(numbers), tuple(pairs), composites, scratch.table(cells, "cells"),
+        {tuple(values): scratch.table(_bag(df, bits, values), f"bag-{kind}") for kind, values in tagged.items()},
+    )
+
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_AS_IS = (T.StringType, T.BooleanType, T.FloatType, T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _counted_as(df: DataFrame, column: str) -> tuple[str, Column]:
+    """A name for the type in which a column's values are counted, and the column in it."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, _WHOLE):
+        return "bigint", F.col(column).cast("long")
+    if isinstance(kind, _AS_IS):
+        return kind.simpleString(), F.col(column)
+    return "string", F.col(column).cast("string")
+
+
+def _bag(df: DataFrame, bits: Column, values: dict[str, Column]) -> DataFrame:
+    """``slices``, ``column``, ``value``, ``n`` of columns of one type."""
+    rows = F.array(*(F.struct(F.lit(i).alias("i"), value.alias("value")) for i, value in enumerate(values.values())))
+    counted = (
+        df.select(bits.alias("slices"), F.inline(rows)).where("value IS NOT NULL")
+        .groupBy("slices", "i", "value").agg(F.count(F.lit(1)).alias("n"))
     )
+    return counted.select("slices", F.get(F.lit(list(values)), F.col("i")).alias("column"), F.col("value").cast("string").alias("value"), "n")
