@@ -223,3 +223,12 @@ def test_rows_with_one_hash_are_compared_by_value(spark, monkeypatch):
     assert plain[4] == [(1, 2, False), (2, 2, True), (3, 2, False)] and plain[5] == [(False,)]
     monkeypatch.setattr(gt, "row_hash", lambda df, cols: F.lit(7).cast("long") + F.size(F.array(*(F.lit(1) for _ in cols))))
     assert answers() == plain
+
+
+def test_keys_are_tagged_within_compiled_code(spark):
+    """NULL keys are dropped after the rows are dealt out, not by a function over each row's array."""
+    df = spark.sql("SELECT * FROM VALUES (1, 'a'), (1, NULL), (2, 'b') AS t(k, f)")
+    known = spark.sql("SELECT 'a' AS f")
+    counted = gt.key_counts(df, [gt.unique(["k"]), gt.fk_exists("f", known, "f"), gt.fk_exists("f", known, "f", ignore_nulls=False)])
+    assert "lambdafunction" not in plan_of(counted)
+    assert [r.violations for r in counted.collect()] == [1, 1, 2]
