@@ -3,6 +3,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import closure, words
 from tristrata.llm import queries, spots
@@ -94,6 +95,30 @@ def test_near_classes_equal_all_pairs(spark):
     assert links and got == {i: c for i, c in want.items() if any(i in e for e in links)}
 
 
+def test_pairs_too_unlike_are_not_compared_whole(spark, monkeypatch):
+    rng = random.Random(11)
+    sets = [list(range(30)) + rng.sample(range(100, 160), 10) for _ in range(150)]
+    sets += [s[:39] + [1000 + i] for i, s in enumerate(sets[:20])]
+    crc = [sorted({zlib.crc32(b"%d" % x) for x in s}) for s in sets]
+    pairs, plain_likeness = spark.sparkContext.accumulator(0), spots.likeness
+
+    def counted(a, b):
+        @F.udf("boolean")
+        def seen(x):
+            pairs.add(1)
+            return True
+
+        return F.when(seen(F.size(a) + F.size(b)), plain_likeness(a, b))
+
+    monkeypatch.setattr(spots, "likeness", counted)
+    given = spark.createDataFrame(list(enumerate(crc)), "id long, found array<long>")
+    got = {r.id: r.component for r in spots.near_classes(given).collect()}
+    links = [(i, j) for i in range(len(crc)) for j in range(i) if like(set(crc[i]), set(crc[j])) >= 0.8]
+    want = closure(range(len(crc)), links)
+    assert len(links) >= 20 and got == {i: c for i, c in want.items() if any(i in e for e in links)}
+    assert pairs.value < 5500  # of 14,365; 60 stars of some 30 sets each, a few times
+
+
 def test_query_on_all_documents(spark, small):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     compare(docs, queries.op10_spots(spark, small).collect())

@@ -7,7 +7,7 @@ fingerprint is the set of its signatures: what is in a text between template wor
 
 import math
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +24,7 @@ ANCHORS = (
 ).split()
 ROUNDS = 4  # further leaders of a meeting before its remaining components are compared in pairs
 CHAIN = 2  # content words of a signature
+PARITIES = ("p0", "p1", "p2", "p3")
 
 
 def _tree(words: list[str]) -> str:
@@ -82,6 +83,13 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise(shared / total)
 
 
+def _parities(sig: Column) -> list[Column]:
+    """Whether a set has an odd number of signatures in each of 256 places, as four aggregates of 64 bits."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), sig.bitwiseAND(F.lit(63)).cast("int"))
+    word = F.shiftright(sig, 6).bitwiseAND(F.lit(len(PARITIES) - 1))
+    return [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(p) for k, p in enumerate(PARITIES)]
+
+
 def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     """``id`` and ``component`` of every id that is linked with another one.
 
@@ -91,19 +99,23 @@ def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     meet by their rarest signatures, as many as a pair above the threshold must share one of;
     signatures of one set come first among those and meet nothing, so most sets need not go on. Stars
     around the smallest id of a meeting are compared first, then stars around other members; sets which
-    stay apart in spite of that are compared where their components differ and their lengths allow it.
+    stay apart in spite of that are compared where their components differ and their lengths and the
+    parities of their signatures allow it: no pair above the threshold fails these.
     """
     shelf = Shelf(prints)
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sets = shelf.put(prints.where("id is not null and size(found) > 0").groupBy("id").agg(F.first("found").alias("found")), "sets")
     one = sets.select("id", F.size("found").alias("n"), F.explode("found").alias("sig")).repartition(parts, "sig")
     rarity = one.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    rows = one.join(rarity.hint("shuffle_hash"), "sig").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("by"))
+    rows = one.join(rarity.hint("shuffle_hash"), "sig").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("by"), *_parities(F.col("sig"))
+    )
     need = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1 - (F.col("n") - F.size("by"))
     part = F.floor(F.log(F.col("n").cast("double")) / -math.log(threshold) + 1e-9)
     prefixes = shelf.put(
         rows.where(need > 0).select(
-            "id", "n", part.alias("own"), F.transform(F.slice("by", 1, need.cast("int")), lambda s: s["sig"]).alias("by")
+            "id", "n", part.alias("own"), F.transform(F.slice("by", 1, need.cast("int")), lambda s: s["sig"]).alias("by"),
+            (F.col("n") - F.size("by")).alias("unique"), *PARITIES,
         ),
         "prefixes",
     )
@@ -146,18 +158,22 @@ def near_classes(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
         links = links.unionByName(more)
         shelf.drop(first)
         first = shelf.put(components(links), "components")
-    placed = place(first)
-    apart = placed.groupBy("sig", "part").agg(F.min("component").alias("_c"), F.max("component").alias("_d")).where("_c != _d")
-    rest = placed.join(apart.select("sig", "part"), ["sig", "part"]).join(prefixes, "id")
-    other = rest.select(
-        "sig", "part", F.col("id").alias("_id"), F.col("n").alias("_n"), F.col("component").alias("_c"), F.col("own").alias("_own"),
-        F.col("by").alias("_by"),
-    )
+    # The largest component of a meeting is not compared with itself.
+    spread = place(first).groupBy("sig", "part", "component").agg(F.count(F.lit(1)).alias("_m"))
+    apart = spread.groupBy("sig", "part").agg(F.max(F.struct("_m", "component")).alias("_h"), F.count(F.lit(1)).alias("_k")).where("_k > 1")
+    open_meetings = apart.select("sig", "part", F.col("_h.component").alias("home"))
+    rest = place(first).join(open_meetings, ["sig", "part"]).join(prefixes, "id")
+    other = rest.drop("home").withColumnsRenamed({c: f"_{c}" for c in rest.columns if c not in ("sig", "part", "home")})
     # A pair is made where it meets first: at the first signature both have, in the upper of their partitions.
     first_meeting = (F.get(F.array_intersect("by", "_by"), F.lit(0)) == F.col("sig")) & (F.col("part") == F.greatest("own", "_own"))
-    more = rest.join(other, ["sig", "part"]).where(
-        (F.col("component") < F.col("_c")) & (F.least("n", "_n") >= threshold * F.greatest("n", "_n") - 1e-9) & first_meeting
-    ).select(F.col("id").alias("a"), F.col("_id").alias("b"))
+    once = (F.col("_component") == F.col("home")) | (F.col("component") < F.col("_component"))
+    lengths = F.least("n", "_n") >= threshold * F.greatest("n", "_n") - 1e-9
+    # What two sets do not share: signatures of one set only, and one at least for each parity that differs.
+    differ = reduce(add, (F.bit_count(F.col(p).bitwiseXOR(F.col(f"_{p}"))) for p in PARITIES), F.col("unique") + F.col("_unique"))
+    few = differ <= (F.col("n") + F.col("_n")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    more = rest.where("component != home").join(other, ["sig", "part"]).where(
+        (F.col("component") != F.col("_component")) & once & lengths & few & first_meeting
+    ).select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b"))
     out = components(links.unionByName(shelf.put(verified(more), "links")))
     for stored in (sets, meetings, first):
         shelf.drop(stored)
