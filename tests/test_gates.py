@@ -225,6 +225,15 @@ def test_rows_with_one_hash_are_compared_by_value(spark, monkeypatch):
     assert answers() == plain
 
 
+def test_full_duplicates_are_sought_among_rows_that_agree_on_some_columns(spark):
+    """A repeated key is no full duplicate; only the key is hashed."""
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "d"), (None, "d")], "k int, x string")
+    gate = gt.no_full_duplicates(by=["k"])
+    assert counts(df, gate) == counts(df, gt.no_full_duplicates()) == {"no_full_duplicates": 2}
+    assert rows(gt.violations(df, gate), "k") == [(None, "d", 2), (2, "c", 2)]
+    assert counts(df.where("k = 1"), gate) == {"no_full_duplicates": 0}
+
+
 def test_keys_are_tagged_within_compiled_code(spark):
     """NULL keys are dropped after the rows are dealt out, not by a function over each row's array."""
     df = spark.sql("SELECT * FROM VALUES (1, 'a'), (1, NULL), (2, 'b') AS t(k, f)")

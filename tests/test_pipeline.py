@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from registry import inputs as src, layers
 from tests.helpers import plan_of, rows
-from tristrata.operators import gates as gt
+from tristrata.operators import gates as gt, keys
 from tristrata.plans import contracts as ct, pipeline, reports, suites
 from tristrata.sources import scratch, snapshots
 
@@ -121,6 +121,30 @@ def test_run_publishes_every_layer_in_one_commit(spark, small, raw, tmp_path):
     assert not results["flights", "sum_consistency(arrival_delay)"]
 
 
+def test_run_computes_no_large_table_for_range_bounds(spark, small, raw, tmp_path, monkeypatch):
+    """Flights, wide flights and facts are dealt by counts and numbers, and lie as their layouts say."""
+    sampled, real = [], snapshots.Layout.arrange
+
+    def arrange(self, df, dealt=False):
+        sampled.extend([] if dealt or not self.order else [df.columns])
+        return real(self, df, dealt)
+
+    monkeypatch.setattr(snapshots.Layout, "arrange", arrange)
+    monkeypatch.setattr(keys, "PART_ROWS", 500)
+    monkeypatch.setattr(keys, "_placed", lambda df, order, label, place=keys._placed: (sampled.append(order), place(df, order, label))[1])
+    lake = str(tmp_path / "lake")
+    pipeline.run(spark, raw, lake, "2015-01-31", fixes=src.airport_fixes(spark, small))
+    assert not [c for c in sampled if {"departure_delay", "flight_number"} <= set(c)]
+    for name, by in {"flights": ["flight_date", "airline_iata_code"], "silver_flights": ["flight_id"], "fat_flt": ["flight_id"]}.items():
+        at = snapshots.read(spark, lake, name).select("_metadata.file_path", "_metadata.row_index", *by).collect()
+        files = {}
+        for path, _, *place in sorted(map(tuple, at)):
+            files.setdefault(path, []).append(place)
+        spans = sorted((f[0], f[-1]) for f in files.values())
+        assert all(f == sorted(f) for f in files.values()) and len(files) > 2
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_a_gate_ends_the_run_and_nothing_shows(spark, small, raw, tmp_path):
     lake = str(tmp_path / "lake")
     with pytest.raises(gt.QualityError, match="latitude"):
