@@ -1,7 +1,12 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from tests.llm.helpers import closure, words
-from tristrata.llm import lines, queries
+from tristrata.llm import lines, linking, queries
+from tristrata.llm.rows import code_points, mix
+from tristrata.llm.shingles import rolling
 
 
 def shingles(line):
@@ -106,3 +111,37 @@ def test_query_on_all_documents(spark, small):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     got = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in queries.op3_lines(spark, small).collect()}
     assert got == plain(docs)
+
+
+def test_signatures_fill_empty_bins_as_a_plain_version():
+    """A bin without a hash takes that of the first bin it asks which has one, whatever is left for the end."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdefgh é漢") for _ in range(n)) for n in [5, 6, 7, 40, 200, 900] * 20]
+    points, starts = code_points(pa.array(texts, pa.large_string()))
+    signed = lines.signatures(points, starts)
+    turns = np.argsort(mix(np.arange(lines.BINS**2), 77).reshape(lines.BINS, lines.BINS), axis=1)
+    for k in range(0, len(texts), 7):
+        own = lines._spread(rolling(points[starts[k] : starts[k + 1]], lines.CHARS, np.uint32))
+        held = {}
+        for h in own.tolist():
+            b = (h >> 16) * lines.BINS >> 16
+            held[b] = min(h, held.get(b, h))
+        for b in range(lines.BINS):
+            asked = next((t, held[c]) for t, c in enumerate(turns[b].tolist()) if c in held)
+            plain = held.get(b, int(mix(np.array([asked[1]]), asked[0] + 1)[0]) % 2**32)
+            assert signed[k, b] == plain
+
+
+def test_lines_are_measured_in_parts_that_stay_in_a_cache(monkeypatch):
+    """Eight bytes for each character, some arrays at a time; the parts give what the whole gives."""
+    rng = random.Random(9)
+    texts = [" ".join(words(rng, 40)) for _ in range(2_000)]
+    parts = []
+
+    def measure(some):
+        parts.append(sum(map(len, some)))
+        return lines.measure(some)
+
+    got = linking.measured(measure, texts)
+    assert sum(parts) == sum(map(len, texts)) > 300_000 and max(parts) <= 1 << 17
+    assert all((a == b).all() for a, b in zip(got, lines.measure(texts)))

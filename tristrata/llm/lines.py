@@ -1,6 +1,7 @@
 """Line deduplication: MinHash of character shingles, verified, one line of a component stays."""
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -9,13 +10,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm import linking
 from tristrata.llm.rows import Shelf, band_hashes, code_points, fresh, mix, slices, text_of
-from tristrata.llm.shingles import char_shingles, multisets, rolling
+from tristrata.llm.shingles import FACTOR, char_shingles, multisets, rolling
 
 CHARS = 5  # a changed inner character costs five shingles: lines of 49 characters or more still link
 THRESHOLD = 0.8
 BANDS = 20  # of six bins: a pair at 0.8 is missed by all of them twice in a thousand, and unlike lines seldom meet
 BINS = 120
 NONE = np.uint32(2**32 - 1)
+TAIL = 128  # empty bins that are filled in one go
 SIGNED_BYTES = 1 << 17  # text that is signed at a time, so that its arrays stay in a core's cache
 
 
@@ -28,6 +30,12 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return x
 
 
+@cache
+def _turns() -> np.ndarray:
+    """The bins that an empty bin asks, by turn and bin."""
+    return np.argsort(mix(np.arange(BINS * BINS), 77).reshape(BINS, BINS), axis=1).T.copy()
+
+
 def signatures(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """One-permutation MinHash of lines of a shingle or more: the least 32-bit hash in each bin.
 
@@ -42,18 +50,23 @@ def signatures(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     place = (hashes >> np.uint32(16)) * np.uint32(BINS) >> np.uint32(16)
     out = np.full(n * BINS, NONE)
     np.minimum.at(out, np.repeat(np.arange(n) * BINS, np.diff(starts))[: len(hashes)] + place, hashes)
-    out = out.reshape(n, BINS)
-    line, empty = np.nonzero(out == NONE)
-    given = out.copy()
-    turns = np.argsort(mix(np.arange(BINS * BINS), 77).reshape(BINS, BINS), axis=1)
+    given, turns = out.copy(), _turns()
+    empty = np.flatnonzero(out == NONE)
+    bins = empty % BINS
     for t in range(BINS):
-        if not len(line):
+        if len(empty) <= TAIL:
             break
-        lent = given[line, turns[empty, t]]
+        lent = given[empty - bins + turns[t][bins]]
         usable = lent != NONE
-        out[line[usable], empty[usable]] = mix(lent[usable], t + 1).astype(np.uint32)
-        line, empty = line[~usable], empty[~usable]
-    return out
+        out[empty[usable]] = mix(lent[usable], t + 1).astype(np.uint32)
+        empty, bins = empty[~usable], bins[~usable]
+    if len(empty):  # the few that are left look at all their turns at once
+        asked = given[(empty - bins)[:, None] + turns.T[bins]]
+        t = np.argmax(asked != NONE, axis=1)
+        lent = asked[np.arange(len(empty)), t]
+        filled = mix(lent + t.astype(np.uint64) * FACTOR, 1).astype(np.uint32)  # the seeds of the turns above
+        out[empty] = np.where(lent != NONE, filled, NONE)
+    return out.reshape(n, BINS)
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

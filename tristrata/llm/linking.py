@@ -21,7 +21,8 @@ from tristrata.llm.shingles import HASH_BITS
 Measure = Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]]
 TILE = 256  # texts on each side of a tile
 COLUMNS = 8192  # elements of a pack that are compared at a time
-CHARS = 1 << 20  # characters that are measured at a time; a longer text comes alone
+CHARS = 1 << 16  # characters that are measured at a time, so that arrays stay in a core's cache; a longer text comes alone
+PACK_CHARS = 1 << 18  # characters of a pack of tiles; a longer tile comes alone
 
 
 def measured(measure: Measure, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,8 +55,8 @@ def overlaps(measure: Measure, lefts: list[str], which: np.ndarray, rights: list
 def _verified(measure: Measure, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for wide in slices(batch, 2):
-                for part in slices(wide, 3):
+            for wide in slices(batch, 2, CHARS):
+                for part in slices(wide, 3, CHARS):
                     _, first, which = np.unique(np.asarray(part.column(0)), return_index=True, return_inverse=True)
                     lefts = part.column(2).take(pa.array(first)).to_pylist()
                     good = overlaps(measure, lefts, which, part.column(3).to_pylist()) >= threshold
@@ -74,11 +75,15 @@ def _shared(hashes: np.ndarray, counts: np.ndarray, owner: np.ndarray, n: int) -
     if len(counts) and counts.max() > 1:
         at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         hashes, owner = mix(np.repeat(hashes, counts) ^ mix(at, 20), 21), np.repeat(owner, counts)
-    _, place, often = np.unique(hashes, return_inverse=True, return_counts=True)
-    column = np.where(often > 1, np.cumsum(often > 1) - 1, -1)[place]
-    owner, column = owner[column >= 0], column[column >= 0]
-    by = np.argsort(column, kind="stable")
-    owner, column = owner[by], column[by]
+    by = np.argsort(hashes)  # which of equal elements comes first does not matter
+    hashes = hashes[by]
+    several = np.zeros(len(hashes), bool)  # elements of more than one text
+    same = hashes[1:] == hashes[:-1]
+    several[1:] |= same
+    several[:-1] |= same
+    owner, hashes = owner[by][several], hashes[several]
+    column = np.zeros(len(hashes), np.int64)
+    column[1:] = np.cumsum(hashes[1:] != hashes[:-1])
     out = np.zeros((n, n))
     width = int(column[-1]) + 1 if len(column) else 0
     for lo in range(0, width, COLUMNS):
@@ -128,7 +133,7 @@ def _tiles(measure: Measure, threshold: float):
         for batch in batches:
             for *tile, block, key, comp, text in zip(*(x.to_pylist() for x in batch.columns)):
                 if tile != last:
-                    if len(pack) >= TILE or chars > CHARS:
+                    if len(pack) >= TILE or chars > PACK_CHARS:
                         yield _pack_links(measure, threshold, pack)
                         pack, n, chars = [], 0, 0
                     last, n = tile, n + 1
