@@ -156,3 +156,9 @@ def test_deal_by_number(spark):
     dealt = keys.deal_by_number(df, "n", 250_000).groupBy(F.spark_partition_id().alias("p")).agg(F.min("n"), F.max("n"), F.count("n"))
     spans = [tuple(r)[1:] for r in dealt.orderBy("p").collect()]
     assert len(spans) == 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and sum(s[2] for s in spans) == 250_000
+
+
+def test_partitions_stay_small_whatever_their_usual_number(spark, monkeypatch):
+    monkeypatch.setattr(keys, "MOST_ROWS", 1_000)
+    df = spark.range(1, 250_001).withColumnRenamed("id", "n")
+    assert keys.deal_by_number(df, "n", 250_000).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] == 1_000
