@@ -145,3 +145,73 @@ def test_lines_are_measured_in_parts_that_stay_in_a_cache(monkeypatch):
     got = linking.measured(measure, texts)
     assert sum(parts) == sum(map(len, texts)) > 300_000 and max(parts) <= 1 << 17
     assert all((a == b).all() for a, b in zip(got, lines.measure(texts)))
+
+
+def test_entries_alone_in_their_bucket_never_become_rows(spark, monkeypatch):
+    """Entries travel many to a row; those of buckets with one id stay behind, whatever a task holds at a time."""
+    rng = np.random.default_rng(4)
+    bucket = rng.integers(-(2**63), 2**63 - 1, 6_000)[rng.integers(0, 6_000, 9_000)]
+    bucket[:700] = bucket[0]  # one that is common
+    ids = rng.integers(-500, 500, 9_000)
+    bucket, ids = np.append(bucket, bucket[:3_000]), np.append(ids, ids[:3_000])
+    held = {}
+    for b, i in zip(bucket.tolist(), ids.tolist()):
+        held.setdefault(b, set()).add(i)
+    want = {(b, i) for b, some in held.items() if len(some) > 1 for i in some}
+    for size in (10, 1_000, 1 << 20):
+        monkeypatch.setattr(linking, "HELD", size)
+        monkeypatch.setattr(linking, "PACKED", 64)
+        batches = list(linking.packed(iter([(bucket[:5_000], ids[:5_000]), (bucket[5_000:], ids[5_000:])]), 8))
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        assert len(rows) < 1_700 if size == 10 else len(rows) < 250
+        given = [pa.RecordBatch.from_arrays([pa.array([g for g, _ in rows[k : k + 7]], pa.int32()), pa.array([e for _, e in rows[k : k + 7]])], names=["group", "entries"]) for k in range(0, len(rows), 7)]
+        assert {x for b in linking._meetings(iter(given)) for x in zip(*(c.to_pylist() for c in b.columns))} == want
+        found = linking.meetings(spark.createDataFrame(rows, "group int, entries binary"), 3)
+        assert {tuple(r) for r in found.collect()} == want
+    assert not list(linking.packed(iter([]), 8)) and not list(linking._meetings(iter([])))
+
+
+def test_documents_spread_their_lines_in_packed_rows(spark):
+    """A line has twenty entries; before, each of them was a row of the exchange."""
+    rng = random.Random(14)
+    texts = pa.RecordBatch.from_arrays(
+        [pa.array(range(3_000), pa.int64()), pa.array([" ".join(words(rng, 12)) for _ in range(3_000)])], names=["id", "text"]
+    )
+    rows = [r for b in lines._buckets(8)(iter([texts])) for r in b.to_pylist()]
+    assert sum(len(r["entries"]) for r in rows) == 16 * 20 * 3_000 and len(rows) < 3_000
+
+
+def test_a_pack_of_tiles_gives_the_links_of_all_pairs(monkeypatch):
+    """Small tiles, two blocks and crowded tiles; a bound never hides a link."""
+    rng = random.Random(15)
+    base = [" ".join(words(rng, 14)) for _ in range(12)]
+    rows = []
+    for t in range(60):
+        two, own = rng.random() < 0.3, {}
+        for _ in range(rng.choice([3, 5, 40])):
+            text = list(rng.choice(base[:3]))
+            for _ in range(rng.randrange(4)):
+                text[rng.randrange(len(text))] = rng.choice("xyz")
+            own["".join(text)] = (not two or rng.random() < 0.5, rng.randrange(4))
+        rows += [(t, f, hash(x), c, x) for x, (f, c) in own.items()]
+    want = {}
+    for t, f, a, c, x in rows:
+        for u, g, b, d, y in rows:
+            alone = all(r[1] for r in rows if r[0] == t)
+            if t == u and c < d and (alone or f != g) and len(shingles(x) & shingles(y)) >= 0.8 * len(shingles(x) | shingles(y)):
+                want.setdefault((t, c, d), set()).add((a, b))
+    for crowd in (0, 4, 10**6):
+        monkeypatch.setattr(linking, "CROWD", crowd)
+        got = linking._pack_links(lines.measure, 0.8, rows)
+        pairs = list(zip(*(c.to_pylist() for c in got.columns)))
+        assert len(pairs) == len(want) > 20 and all(any(p in some for some in want.values()) for p in pairs)
+
+
+def test_measure_equals_sets_of_shingles():
+    rng = random.Random(16)
+    texts = ["".join(rng.choice("ab é漢") for _ in range(n)) for n in [0, 1, 4, 5, 6, 3, 30, 200, 2, 9]] + ["", "abcd", "z"]
+    hashes, counts, owner = lines.measure(texts)
+    assert (counts == 1).all() and (np.diff(owner) >= 0).all()
+    assert np.bincount(owner, minlength=len(texts)).tolist() == [len(shingles(x)) for x in texts]
+    assert len(set(hashes.tolist())) == len(set().union(*map(shingles, texts)))
+    assert all(len(x) == 0 for x in lines.measure(["", "abc"]))

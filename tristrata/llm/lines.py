@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from tristrata.llm import linking
 from tristrata.llm.rows import Shelf, band_hashes, code_points, fresh, mix, slices, text_of
-from tristrata.llm.shingles import FACTOR, char_shingles, multisets, rolling
+from tristrata.llm.shingles import FACTOR, HASH_BITS, rolling
 
 CHARS = 5  # a changed inner character costs five shingles: lines of 49 characters or more still link
 THRESHOLD = 0.8
 BANDS = 20  # of six bins: a pair at 0.8 is missed by all of them twice in a thousand, and unlike lines seldom meet
 BINS = 120
 NONE = np.uint32(2**32 - 1)
+LEFT = np.uint64(2**64 - 1)
 TAIL = 128  # empty bins that are filled in one go
-SIGNED_BYTES = 1 << 17  # text that is signed at a time, so that its arrays stay in a core's cache
+SIGNED_BYTES = 1 << 18  # text that is signed at a time; fewer cost more in calls than a cache saves
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
@@ -69,7 +70,7 @@ def signatures(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out.reshape(n, BINS)
 
 
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for batch in batches:
         for part in slices(batch, 1, SIGNED_BYTES):
             part = part.filter(pc.greater_equal(pc.utf8_length(part.column(1)), CHARS))
@@ -77,17 +78,30 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(ids):
                 continue
             signed = signatures(*code_points(part.column(1).take(pa.array(at))))
-            found = band_hashes(signed.astype(np.uint64), BANDS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.ravel()), pa.array(np.repeat(ids, BANDS))], names=["bucket", "id"]
-            )
+            yield band_hashes(signed.astype(np.uint64), BANDS).ravel(), np.repeat(ids, BANDS)
+
+
+def _buckets(groups: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return linking.packed(_found(batches), groups)
+
+    return run
 
 
 def measure(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The set of shingles of each line: hashes, counts of one, and the line each is in."""
     points, starts = code_points(pa.array(lines, pa.large_string()))
-    hashes, _, owner = multisets(*char_shingles(points, starts, CHARS))
-    return hashes, np.ones(len(hashes), np.int64), owner
+    keys = mix(rolling(points, CHARS), 4)
+    keys >>= np.uint64(64) - HASH_BITS
+    keys |= np.repeat(np.arange(len(lines), dtype=np.uint64) << HASH_BITS, np.diff(starts))[: len(keys)]
+    for k in range(1, CHARS):  # runs that leave their line
+        over = starts[1:] - k
+        keys[over[(over >= 0) & (over < len(keys))]] = LEFT
+    keys.sort()
+    keys = keys[: np.searchsorted(keys, LEFT)]
+    keys = keys[np.append(True, keys[1:] != keys[:-1])[: len(keys)]]
+    owner = (keys >> HASH_BITS).astype(np.int64)
+    return keys & ((np.uint64(1) << HASH_BITS) - np.uint64(1)), np.ones(len(keys), np.int64), owner
 
 
 def line_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,7 +129,8 @@ def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     places = line_places(docs, id_col, text_col)
     texts = places.select(F.col("line_key").alias("id"), F.col("line").alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = texts.mapInArrow(_buckets, "bucket long, id long")
+    rows = texts.mapInArrow(_buckets(parts * linking.GROUPS), "group int, entries binary")
+    buckets = linking.meetings(rows, parts)
     found = shelf.put(linking.classes(buckets, texts, measure, THRESHOLD, parts), "classes")
     rows = shelf.put(
         places.drop("line").join(found.withColumnRenamed("id", "line_key"), "line_key", "left").select(
