@@ -24,7 +24,7 @@ COLUMNS = 8192  # elements of a pack that are compared at a time
 PACKED = 512  # entries of buckets in a row
 HELD = 1 << 20  # entries, of 16 bytes, that a task packs or looks through at a time
 GROUPS = 4  # of buckets for each partition, which are looked through one after the other
-CHARS = 1 << 17  # characters that are measured at a time, so that arrays stay in a core's cache; a longer text comes alone
+CHARS = 1 << 17  # characters that are measured at a time; a longer text comes alone
 PARITIES = 512  # cells whose parities bound the difference of two texts
 CROWD = 4  # pairs for each row of a tile from which on the tile is compared at once
 PACK_CHARS = 1 << 18  # characters of a pack of tiles; a longer tile comes alone
